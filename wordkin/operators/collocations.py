@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wordkin.functions import scores
 from wordkin.operators.ngrams import decade_label
-from wordkin.operators.skew import join_totals, number_within
+from wordkin.operators.skew import hot_limit, join_totals, number_within
 
 MAX_DECADES = 1000
 
@@ -44,15 +44,15 @@ def marginals_in_one_pass(pairs: DataFrame) -> DataFrame:
                     .otherwise(F.col("total")).alias("total")))
 
 
-def join_left_counts(pairs: DataFrame, left: DataFrame, keep_unmatched: bool = False, **skew) -> DataFrame:
+def join_left_counts(pairs: DataFrame, left: DataFrame, limit: Column, keep_unmatched: bool = False) -> DataFrame:
     """Add c(w1). With ``keep_unmatched`` a pair without a count stays and gets -1."""
-    joined = join_totals(pairs, left, ["decade", "w1"], ["w2"], "pairs1", "left" if keep_unmatched else "inner", **skew)
+    joined = join_totals(pairs, left, ["decade", "w1"], ["w2"], "pairs1", "c1", limit, keep_unmatched)
     return joined.fillna(-1, ["c1"]) if keep_unmatched else joined
 
 
-def join_right_counts(pairs: DataFrame, right: DataFrame, keep_unmatched: bool = False, **skew) -> DataFrame:
+def join_right_counts(pairs: DataFrame, right: DataFrame, limit: Column, keep_unmatched: bool = False) -> DataFrame:
     """Add c(w2). With ``keep_unmatched`` a pair without a count stays and gets -1."""
-    joined = join_totals(pairs, right, ["decade", "w2"], ["w1"], "pairs2", "left" if keep_unmatched else "inner", **skew)
+    joined = join_totals(pairs, right, ["decade", "w2"], ["w1"], "pairs2", "c2", limit, keep_unmatched)
     return joined.fillna(-1, ["c2"]) if keep_unmatched else joined
 
 
@@ -62,11 +62,15 @@ def join_decades(rows: DataFrame, by_decade: DataFrame) -> DataFrame:
 
 
 def score_pairs(pairs: DataFrame, **skew) -> DataFrame:
-    """``decade, w1, w2, c, c1, c2, n, pmi, npmi``. Pairs with a zero count have no score and are dropped."""
+    """``decade, w1, w2, c, c1, c2, n, pmi, npmi``. Pairs with a zero count have no score and are dropped.
+
+    The pairs are read several times: pass a written table.
+    """
     counted = pairs.where(F.col("c") > 0)
-    left, right = left_marginal(counted), right_marginal(counted)
-    joined = join_right_counts(join_left_counts(counted, left, **skew), right, **skew)
-    joined = join_decades(joined, corpus_size(left, "c1"))
+    limit = hot_limit(counted, **skew)
+    joined = join_left_counts(counted, left_marginal(counted), limit)
+    joined = join_right_counts(joined, right_marginal(counted), limit)
+    joined = join_decades(joined, corpus_size(counted))
     figures = [F.col(name) for name in ("c", "c1", "c2", "n")]
     return joined.select("decade", "w1", "w2", *figures,
                          scores.pmi(*figures).alias("pmi"), scores.npmi(*figures).alias("npmi"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordkin.functions import reviews as rules
 from wordkin.functions import text as tx
-from wordkin.operators.skew import HOT_MIN_ROWS, HOT_SHARE, join_totals
+from wordkin.operators.skew import hot_limit, join_totals
 
 # an output line holds the results of at most this many reviews of a product
 ENTRIES_PER_LINE = 100_000
@@ -113,7 +113,7 @@ def product_json(products: DataFrame, *keep: str) -> DataFrame:
     return products.select(*keep, F.to_json(F.struct("title", "reviews"), {"ignoreNullFields": "false"}).alias("line"))
 
 
-def assemble_files(fragments: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+def assemble_files(fragments: DataFrame, **skew) -> DataFrame:
     """Rows of the files whose fragments have all arrived: ``file_key, fragment_no, line``.
 
     ``fragments`` has ``file_key, fragment_no, expected, line``; a redelivered fragment counts once.
@@ -121,9 +121,8 @@ def assemble_files(fragments: DataFrame, hot_share: float = HOT_SHARE, hot_min_r
     """
     arrived = fragments.dropDuplicates(["file_key", "fragment_no"])
     files = arrived.groupBy("file_key").agg(F.count("*").alias("n"), F.max("expected").alias("_expected"))
-    complete = files.where(F.col("n") == F.col("_expected")).drop("_expected")
-    return (join_totals(arrived, complete, ["file_key"], ["fragment_no"], "n",
-                        hot_share=hot_share, hot_min_rows=hot_min_rows)
+    complete = files.where(F.col("n") == F.col("_expected"))
+    return (join_totals(arrived, complete, ["file_key"], ["fragment_no"], "n", "_expected", hot_limit(arrived, **skew))
             .select("file_key", "fragment_no", "line"))
 
 
@@ -133,12 +132,12 @@ def unique_requests(requests: DataFrame) -> DataFrame:
 
 
 def route_results(results: DataFrame, requests: DataFrame, spread: Sequence[str], order: str = "seq",
-                  hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
+                  **skew) -> DataFrame:
     """Add to each result the client that asked for its file last (highest ``order``).
 
     ``spread`` are columns that tell the results of one file apart.
     """
     clients = requests.groupBy("file_key").agg(F.max_by("client_key", order).alias("client_key"))
     per_file = results.groupBy("file_key").agg(F.count("*").alias("_rows"))
-    return join_totals(results, clients.join(per_file, "file_key"), ["file_key"], spread, "_rows",
-                       hot_share=hot_share, hot_min_rows=hot_min_rows)
+    return join_totals(results, clients.join(per_file, "file_key"), ["file_key"], spread, "_rows", "client_key",
+                       hot_limit(results, **skew))

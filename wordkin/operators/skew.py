@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,26 +16,34 @@ HOT_SHARE = 1e-4
 HOT_MIN_ROWS = 1_000_000
 
 
+def hot_limit(rows: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> Column:
+    """The number of rows above which a key is hot. Counts ``rows`` in a scalar subquery."""
+    return F.greatest(F.lit(float(hot_min_rows)), rows.agg(F.count(F.lit(1))).scalar() * F.lit(hot_share))
+
+
 def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread: Sequence[str],
-                n_rows: str, how: str = "inner", hot_share: float = HOT_SHARE,
-                hot_min_rows: int = HOT_MIN_ROWS) -> DataFrame:
-    """Join ``rows`` with one ``totals`` row per key, cutting hot keys into slices.
+                n_rows: str, total: str, limit: Column, keep_unmatched: bool = False) -> DataFrame:
+    """Add to ``rows`` the column ``total`` of the ``totals`` row with the same keys.
+
+    ``totals`` is unique on ``keys`` and its column ``n_rows`` says how many ``rows`` each key has. Rows of
+    keys with more than ``limit`` rows get their total from the broadcast list of those hot keys; in
+    the shuffled join that serves all others they are spread by the hash of the ``spread`` columns.
+    Totals come out of an aggregation, where Spark's own skew handling does not look.
 
-    ``totals`` is unique on ``keys`` and its column ``n_rows`` says how many ``rows`` each key has.
-    A hot key's rows go to as many slices as it takes to bring a slice under the hot limit,
-    chosen by the hash of the ``spread`` columns, and its total is copied to each slice. Totals come
-    out of an aggregation, where Spark's own skew handling does not look.
+    Rows without a total are dropped, or kept with a null total.
     """
-    limit = F.greatest(F.lit(float(hot_min_rows)), totals.agg(F.sum(n_rows)).scalar() * F.lit(hot_share))
-    sliced = totals.withColumn(
-        "_slices", F.when(F.col(n_rows) > limit, F.ceil(F.col(n_rows) / limit)).otherwise(F.lit(1)).cast("int"))
+    is_hot = F.col(n_rows) > limit
     # fewer than 1/hot_share rows, by the definition of the limit
-    hot = F.broadcast(sliced.where(F.col("_slices") > 1).select(*keys, "_slices"))
-    slice_of_row = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int"), F.lit(0))
-    left = rows.join(hot, list(keys), "left").withColumn("_slice", slice_of_row).drop("_slices")
-    right = (sliced.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-             .drop("_slices", n_rows))
-    return left.join(right, [*keys, "_slice"], how).drop("_slice")
+    hot = F.broadcast(totals.where(is_hot).select(*keys, F.col(total).alias("_hot"), F.col(n_rows).alias("_hot_rows")))
+    slices = F.pmod(F.xxhash64(*spread), F.ceil(F.col("_hot_rows") / limit)) + 1
+    left = rows.join(hot, list(keys), "left").withColumn(
+        "_slice", F.when(F.col("_hot_rows").isNull(), F.lit(0)).otherwise(slices.cast("int")))
+    # the slice has to come from the data: Spark would take a constant out of the join keys, and with it
+    # the spreading. Reading the same columns as the hot list, this side shares its shuffle.
+    right = totals.select(*keys, F.when(is_hot, -1).otherwise(0).alias("_slice"), F.col(total).alias("_cold"))
+    joined = (left.join(right, [*keys, "_slice"], "left").withColumn(total, F.coalesce("_hot", "_cold"))
+              .drop("_slice", "_hot", "_hot_rows", "_cold"))
+    return joined if keep_unmatched else joined.where(F.col(total).isNotNull())
 
 
 def number_within(df: DataFrame, group: Sequence[str], order: Sequence, name: str, label: str = "numbered",

@@ -15,12 +15,13 @@ def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mod
                       fp_perfect: bool = False, work_dir: str | None = None, **skew) -> DataFrame:
     """From decade pair counts to ``decade, w1, w2, npmi``, unsorted.
 
-    The scored pairs have two readers, the decade totals and the thresholds, and are written
-    once, below ``work_dir`` or the shared folder.
+    The pairs are read by the marginals, the sizes and the join, the scored pairs by the decade
+    totals and the thresholds: both are written once, below ``work_dir`` or the shared folder.
     """
+    pairs = pin(pairs, "pairs", work_dir and f"{work_dir}/pairs")
     scored = co.score_pairs(pairs, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
-    scored = pin(scored, "scored", work_dir)
+    scored = pin(scored, "scored", work_dir and f"{work_dir}/scored")
     found = co.filter_collocations(scored, co.score_totals(scored, sum_mode), min_npmi, min_rel,
                                    F.col("perfect"), fp_perfect)
     return found.select("decade", "w1", "w2", "npmi")

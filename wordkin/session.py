@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # join the totals by hashing, where each of their partitions is seen to be small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # review annotation aggregates one small group per review; the default of 128 groups
     # would send every task to the sort-based path
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",

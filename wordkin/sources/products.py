@@ -27,6 +27,11 @@ def line_place() -> list[Column]:
             F.monotonically_increasing_id().alias("line_id")]
 
 
+def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files of a scan, named as its ``_metadata.file_path`` names them."""
+    return [path.replace("file:///", "file:/", 1) for path in spark.read.text(list(paths)).inputFiles()]
+
+
 def files_not_utf8(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """Files with a line that is not valid UTF-8.
 
@@ -48,8 +53,7 @@ def read_products(spark: SparkSession, paths: str | Sequence[str], charset_fallb
     if not fallback:
         return _scan(spark, paths)
     known = set(fallback)
-    listing = spark.read.text(paths).inputFiles()
-    regular = [path for path in listing if path not in known]
+    regular = [path for path in listed_files(spark, paths) if path not in known]
     latin = _scan(spark, fallback, "ISO-8859-1")
     if not regular:
         return latin
@@ -96,5 +100,5 @@ def pair_outputs(products: DataFrame, outputs: dict[str, str]) -> DataFrame:
     The pairs are the file listing that the driver holds for the scan as well.
     """
     spark = products.sparkSession
-    pairs = [(file, out) for path, out in outputs.items() for file in spark.read.text(path).inputFiles()]
+    pairs = [(file, out) for path, out in outputs.items() for file in listed_files(spark, [path])]
     return products.join(spark.createDataFrame(pairs, "file string, out string"), "file")

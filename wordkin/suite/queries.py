@@ -15,6 +15,7 @@ from wordkin.operators import collocations as co
 from wordkin.operators import ngrams as ng
 from wordkin.operators import reports
 from wordkin.operators import reviews as rv
+from wordkin.operators.skew import hot_limit
 from wordkin.plans.collocations import extract_collocations, find_collocations
 from wordkin.plans.reviews import process_files, run_reviews
 from wordkin.sinks import tables as sink
@@ -42,7 +43,7 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    return co.score_pairs(_pairs(spark, sf))
+    return co.score_pairs(pin(_pairs(spark, sf), "pairs"))
 
 
 def _pinned_scores(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -98,14 +99,14 @@ def marginals_grouping_sets(spark, sf):
 
 
 def join_w1(spark, sf):
-    pairs = _pairs(spark, sf)
-    return co.join_left_counts(pairs, co.left_marginal(pairs)).select("decade", "w1", "w2", "c", "c1")
+    pairs = pin(_pairs(spark, sf), "pairs")
+    return co.join_left_counts(pairs, co.left_marginal(pairs), hot_limit(pairs)).select("decade", "w1", "w2", "c", "c1")
 
 
 def join_w2(spark, sf):
-    pairs = _pairs(spark, sf)
-    joined = co.join_left_counts(pairs, co.left_marginal(pairs))
-    return co.join_right_counts(joined, co.right_marginal(pairs)).select("decade", "w1", "w2", "c", "c1", "c2")
+    pairs = pin(_pairs(spark, sf), "pairs")
+    joined = co.join_left_counts(pairs, co.left_marginal(pairs), hot_limit(pairs))
+    return co.join_right_counts(joined, co.right_marginal(pairs), hot_limit(pairs)).select("decade", "w1", "w2", "c", "c1", "c2")
 
 
 def pmi(spark, sf):
