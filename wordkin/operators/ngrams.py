@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordkin.functions.text import words
+from wordkin.operators.skew import BROADCAST_BYTES, broadcast_if_small
 
 # fixed values: the decade window
 FIRST_YEAR = 1500
@@ -14,11 +15,13 @@ LAST_YEAR = 2029
 
 def tokenise_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The first four tokens of each line, by position, and how many there are (5 stands for more)."""
-    token = words(F.col(column), 5)
-    return (lines.select(F.when(F.trim(F.col(column), F.lit(" \t\n\r\f")) != "", token)
-                         .otherwise(F.array().cast("array<string>")).alias("t"))
-            .select(F.get("t", 0).alias("w1"), F.get("t", 1).alias("w2"), F.get("t", 2).alias("year_token"),
-                    F.get("t", 3).alias("count_token"), F.size("t").alias("n_tokens")))
+    # exploding the one-element array keeps filters on the tokens above it: pushed below, every one of
+    # them would split the line again
+    token = lines.select(F.explode(F.array(words(F.col(column), 5))).alias("t"))
+    blank = F.get("t", 0) == ""
+    return token.select(F.when(~blank, F.get("t", 0)).alias("w1"), F.get("t", 1).alias("w2"),
+                        F.get("t", 2).alias("year_token"), F.get("t", 3).alias("count_token"),
+                        F.when(blank, 0).otherwise(F.size("t")).alias("n_tokens"))
 
 
 def valid_ngrams(tokens: DataFrame) -> DataFrame:
@@ -39,15 +42,14 @@ def parse_ngrams(lines: DataFrame, column: str = "value") -> DataFrame:
     return valid_ngrams(tokenise_lines(lines, column))
 
 
-def drop_stop_words(ngrams: DataFrame, stop_words: DataFrame) -> DataFrame:
+def drop_stop_words(ngrams: DataFrame, stop_words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Drop records with a listed word on either side; exact case, duplicates kept.
 
-    No broadcast hint: Spark broadcasts the list when its own size figure allows it and falls
-    back to a shuffled anti join, with skew splitting, when not.
+    The list is broadcast up to ``max_bytes``; beyond, the anti joins shuffle, with skew splitting.
     """
-    left = stop_words.select(F.col("word").alias("w1"))
-    right = stop_words.select(F.col("word").alias("w2"))
-    return ngrams.join(left, "w1", "left_anti").join(right, "w2", "left_anti").select(*ngrams.columns)
+    stop = broadcast_if_small(stop_words.select("word"), max_bytes)
+    return (ngrams.join(stop.withColumnRenamed("word", "w1"), "w1", "left_anti")
+            .join(stop.withColumnRenamed("word", "w2"), "w2", "left_anti").select(*ngrams.columns))
 
 
 def decade_of(year: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordkin.functions import reviews as rules
 from wordkin.functions import text as tx
-from wordkin.operators.skew import hot_limit, join_totals
+from wordkin.operators.skew import BROADCAST_BYTES, broadcast_if_small, hot_limit, join_totals
 
 # an output line holds the results of at most this many reviews of a product
 ENTRIES_PER_LINE = 100_000
@@ -33,14 +33,15 @@ def _dictionary(lexicon: DataFrame | None, gazetteer: DataFrame | None) -> DataF
 
 
 def annotate_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame | None = None,
-                     gazetteer: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
+                     gazetteer: DataFrame | None = None, carry: Sequence[str] = (),
+                     max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per review: ``keys``, the ``carry`` columns, ``sentiment`` (with a lexicon) and ``entities``
     (with a gazetteer).
 
     One scan and one shuffle. A review becomes an anchor row, which carries its columns, and a row per
     word; words outside the dictionary are gone before the shuffle, and a review's rows lie together,
-    so the partial aggregation leaves about one row per review to send. There is no broadcast
-    hint: Spark broadcasts the dictionary if its own size figure allows it.
+    so the partial aggregation leaves about one row per review to send. The dictionary is broadcast up
+    to ``max_bytes``; beyond, the words are shuffled to it, with skew splitting for frequent ones.
     """
     kept = F.struct(*[F.col(name) for name in carry], F.lit(True).alias("_present"))
     reviews = reviews.withColumn("_sentence", tx.longest_sentence(F.col("text")))
@@ -61,7 +62,8 @@ def annotate_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame
     is_anchor = F.col("kind") == "review"
     rows = exploded.select(*keys, "event.*", F.when(F.col("event.kind") == "review", kept).alias("_kept"),
                            "_has_sentence")
-    hits = (rows.join(_dictionary(lexicon, gazetteer), ["kind", "word"], "left")
+    dictionary = broadcast_if_small(_dictionary(lexicon, gazetteer), max_bytes)
+    hits = (rows.join(dictionary, ["kind", "word"], "left")
             .where(is_anchor | F.col("polarity").isNotNull()))
 
     figures = [F.first("_kept", ignorenulls=True).alias("_kept")]
@@ -80,9 +82,10 @@ def annotate_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame
     return hits.groupBy(*keys).agg(*figures).select(*columns)
 
 
-def process_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def process_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame, gazetteer: DataFrame,
+                    max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``keys, link, color, entities, is_sarcastic`` of each review. ``keys`` identify a review."""
-    found = annotate_reviews(reviews, keys, lexicon, gazetteer, carry=["link", "rating"])
+    found = annotate_reviews(reviews, keys, lexicon, gazetteer, carry=["link", "rating"], max_bytes=max_bytes)
     return found.select(*keys, "link", rules.color_of(F.col("sentiment")).alias("color"), "entities",
                         rules.is_sarcastic(F.col("rating"), F.col("sentiment")).alias("is_sarcastic"))
 

@@ -1,4 +1,4 @@
-"""Joins and numbering that hold when one key has a large share of all rows."""
+"""Joins and numbering that hold at any size and when one key has a large share of all rows."""
 
 from __future__ import annotations
 
@@ -15,6 +15,20 @@ from wordkin.storage import pin
 HOT_SHARE = 1e-4
 HOT_MIN_ROWS = 1_000_000
 
+# word lists up to this size are broadcast
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a list for broadcast if its size, which is counted here, allows it.
+
+    A larger list is left to a shuffled join. Pass a table, not a long computation: it is read once
+    for the count.
+    """
+    width = sum((F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in words.columns), F.lit(16))
+    size = words.agg(F.sum(width).alias("size")).first()["size"] or 0
+    return F.broadcast(words) if size <= max_bytes else words
+
 
 def hot_limit(rows: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> Column:
     """The number of rows above which a key is hot. Counts ``rows`` in a scalar subquery."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wordkin.functions.scores import is_perfect
 from wordkin.operators import collocations as co
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, drop_stop_words, roll_up_decades
+from wordkin.sinks.tables import write_decade_figures
 from wordkin.storage import pin
 
 
@@ -16,22 +17,30 @@ def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mod
     """From decade pair counts to ``decade, w1, w2, npmi``, unsorted.
 
     The pairs are read by the marginals, the sizes and the join, the scored pairs by the decade
-    totals and the thresholds: both are written once, below ``work_dir`` or the shared folder.
+    totals and the thresholds: both are written once, below the shared folder. With a ``work_dir``
+    they are written there, next to the figures per decade, and a run that is started again takes up
+    the finished ones; use a new one for other input or another window.
     """
-    pairs = pin(pairs, "pairs", work_dir and f"{work_dir}/pairs")
+    pairs = pin(pairs, "pairs", work_dir)
     scored = co.score_pairs(pairs, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
-    scored = pin(scored, "scored", work_dir and f"{work_dir}/scored")
-    found = co.filter_collocations(scored, co.score_totals(scored, sum_mode), min_npmi, min_rel,
-                                   F.col("perfect"), fp_perfect)
+    scored = pin(scored, "scored", work_dir)
+    totals = co.score_totals(scored, sum_mode)
+    if work_dir:
+        write_decade_figures(co.corpus_size(pairs), f"{work_dir}/sizes")
+        write_decade_figures(totals, f"{work_dir}/totals")
+    found = co.filter_collocations(scored, totals, min_npmi, min_rel, F.col("perfect"), fp_perfect)
     return found.select("decade", "w1", "w2", "npmi")
 
 
 def extract_collocations(ngrams: DataFrame, stop_words: DataFrame, min_npmi: float, min_rel: float,
-                         start: int = FIRST_YEAR, end: int = LAST_YEAR, **options) -> DataFrame:
+                         start: int = FIRST_YEAR, end: int = LAST_YEAR, ordered: bool = True,
+                         **options) -> DataFrame:
     """2-gram records to collocations, per decade, strongest first: ``decade, w1, w2, npmi``.
 
-    ``options`` are those of :func:`find_collocations`.
+    ``ordered=False`` leaves the sorting to a writer that sorts itself. ``options`` are those of
+    :func:`find_collocations`.
     """
     pairs = roll_up_decades(drop_stop_words(ngrams, stop_words), start, end)
-    return co.sort_collocations(find_collocations(pairs, min_npmi, min_rel, **options))
+    found = find_collocations(pairs, min_npmi, min_rel, **options)
+    return co.sort_collocations(found) if ordered else found

@@ -8,57 +8,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wordkin.functions.text import BLANKS
 from wordkin.schemas import CORRUPT, PRODUCT_OR_CORRUPT
 from wordkin.storage import pin
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], encoding: str | None = None) -> DataFrame:
-    reader = spark.read.schema(PRODUCT_OR_CORRUPT).option("mode", "PERMISSIVE")
-    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    if encoding:
-        reader = reader.option("encoding", encoding).option("lineSep", "\n")
-    return reader.json(list(paths)).select("*", *line_place())
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with their place: ``line, file, block, line_id``. Order by the last three for file order."""
+    return spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_id"))
 
 
-def line_place() -> list[Column]:
-    """Columns that identify a line and order it within its file."""
-    return [F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line_id")]
-
-
-def listed_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+def listed_files(spark: SparkSession, path: str) -> list[str]:
     """The files of a scan, named as its ``_metadata.file_path`` names them."""
-    return [path.replace("file:///", "file:/", 1) for path in spark.read.text(list(paths)).inputFiles()]
+    return [file.replace("file:///", "file:/", 1) for file in spark.read.text(path).inputFiles()]
 
 
-def files_not_utf8(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Files with a line that is not valid UTF-8.
+def files_not_utf8(lines: DataFrame) -> DataFrame:
+    """Files with a line that is not valid UTF-8: ``file``. The lines hold the bytes as read."""
+    return lines.where(~F.is_valid_utf8("line")).select("file").distinct()
 
-    One splittable pass over the raw lines. The answer is part of the file listing, which the driver
-    holds for any scan, so bringing it to the driver adds nothing that grows further.
-    """
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("file"))
-    bad = lines.where(~F.is_valid_utf8("value")).select("file").distinct()
-    return sorted(row.file for row in bad.toLocalIterator())
+
+def decode_latin(lines: DataFrame, is_latin: Column) -> DataFrame:
+    """Take the bytes of the lines marked by ``is_latin`` as ISO-8859-1."""
+    decoded = F.decode(F.col("line").cast("binary"), "ISO-8859-1")
+    return lines.withColumn("line", F.when(is_latin, decoded).otherwise(F.col("line")))
 
 
 def read_products(spark: SparkSession, paths: str | Sequence[str], charset_fallback: bool = False) -> DataFrame:
-    """Product lines: ``title, reviews, _corrupt_record, file, block, line_id``.
+    """Product lines: ``file, block, line_id, title, reviews, _corrupt_record``.
 
-    With ``charset_fallback`` a file that is not valid UTF-8 throughout is read as ISO-8859-1.
+    With ``charset_fallback`` a file that is not valid UTF-8 throughout is read as ISO-8859-1. That takes
+    one more pass over the lines. The names of such files come to the driver: they are part of the
+    file listing, which the driver holds for the scan anyway.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    fallback = files_not_utf8(spark, paths) if charset_fallback else []
-    if not fallback:
-        return _scan(spark, paths)
-    known = set(fallback)
-    regular = [path for path in listed_files(spark, paths) if path not in known]
-    latin = _scan(spark, fallback, "ISO-8859-1")
-    if not regular:
-        return latin
-    # the running ids of the two scans overlap, but never within one file
-    return _scan(spark, regular).unionByName(latin)
+    lines = read_lines(spark, paths)
+    if charset_fallback:
+        latin = [row.file for row in files_not_utf8(lines).toLocalIterator()]
+        if latin:
+            lines = decode_latin(lines, F.col("file").isin(latin))
+    return parse_product_lines(lines)
 
 
 def good_products(products: DataFrame) -> DataFrame:
@@ -72,11 +62,15 @@ def quarantined_lines(products: DataFrame) -> DataFrame:
 
 
 def parse_product_lines(lines: DataFrame, column: str = "line") -> DataFrame:
-    """The same parsing for lines that are already a column; other columns stay."""
+    """The lines of ``column`` as products; other columns stay. Blank lines are skipped.
+
+    A line that is not valid JSON gets its text in ``_corrupt_record``.
+    """
     parsed = F.from_json(F.col(column), PRODUCT_OR_CORRUPT,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     others = [name for name in lines.columns if name != column]
-    return lines.select(*others, parsed.alias("p")).select(*others, "p.*")
+    # inlined rather than selected: filters on the fields stay above, where the line is already parsed
+    return lines.where(F.trim(column, F.lit(BLANKS)) != "").select(*others, F.inline(F.array(parsed)))
 
 
 def number_lines(products: DataFrame) -> DataFrame:
@@ -100,5 +94,5 @@ def pair_outputs(products: DataFrame, outputs: dict[str, str]) -> DataFrame:
     The pairs are the file listing that the driver holds for the scan as well.
     """
     spark = products.sparkSession
-    pairs = [(file, out) for path, out in outputs.items() for file in listed_files(spark, [path])]
+    pairs = [(file, out) for path, out in outputs.items() for file in listed_files(spark, path)]
     return products.join(spark.createDataFrame(pairs, "file string, out string"), "file")

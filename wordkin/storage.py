@@ -22,13 +22,21 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """A writer has finished this folder."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
+def pin(df: DataFrame, label: str, work_dir: str | None = None) -> DataFrame:
     """Write ``df`` once as parquet and go on from the written table.
 
     Used where a result has several readers: the readers get column pruning, later stages do not
-    depend on the shuffle files of earlier ones, and a lost executor costs no recomputation.
+    depend on the shuffle files of earlier ones, and a lost executor costs no recomputation. In a
+    ``work_dir`` a table that an earlier run has finished is taken as it is.
     """
     spark = df.sparkSession
-    path = folder or scratch_folder(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    path = f"{work_dir.rstrip('/')}/{label}" if work_dir else scratch_folder(spark, label)
+    if not (work_dir and is_complete(spark, path)):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

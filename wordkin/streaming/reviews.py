@@ -7,34 +7,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordkin.operators.reviews import explode_reviews, process_reviews
-from wordkin.schemas import CORRUPT, PRODUCT_OR_CORRUPT
-from wordkin.sources.products import good_products
+from wordkin.sources.products import decode_latin, files_not_utf8, good_products, parse_product_lines
 
 PLACE = ["file", "block", "line_id"]
 
 
 def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, lexicon: DataFrame,
-                   gazetteer: DataFrame, files_per_batch: int = 1000, before_publish=None,
-                   **trigger) -> StreamingQuery:
+                   gazetteer: DataFrame, files_per_batch: int = 1000, charset_fallback: bool = False,
+                   before_publish=None, **trigger) -> StreamingQuery:
     """Process review files as they arrive; ``out_dir`` gets one ``batch_id`` folder per micro-batch.
 
     A batch replaces its own folder, so a batch that is run again after a failure leaves its
     results once. ``before_publish(batch_id)`` is called ahead of the write. ``trigger`` is
     passed on; without it the query runs until it is stopped.
     """
-    arriving = (spark.readStream.schema(PRODUCT_OR_CORRUPT).option("columnNameOfCorruptRecord", CORRUPT)
-                .option("maxFilesPerTrigger", files_per_batch).json(in_dir)
-                .select("*", F.col("_metadata.file_path").alias("file"),
+    arriving = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(in_dir)
+                .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_block_start").alias("block")))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        products = good_products(batch.withColumn("line_id", F.monotonically_increasing_id()))
+        lines = batch.withColumn("line_id", F.monotonically_increasing_id())
+        if charset_fallback:
+            # at most files_per_batch rows
+            latin = F.broadcast(files_not_utf8(batch).withColumn("latin", F.lit(True)))
+            lines = decode_latin(lines.join(latin, "file", "left"), F.col("latin")).drop("latin")
+        products = good_products(parse_product_lines(lines))
         done = process_reviews(explode_reviews(products, *PLACE), [*PLACE, "pos"], lexicon, gazetteer)
         if before_publish is not None:
             before_publish(batch_id)
         done.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    writer = (arriving.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint))
+    writer = arriving.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordkin.operators.reviews import product_json
 from wordkin.operators.skew import number_within
+from wordkin.storage import pin
 
 MIN_NPMI = 0.8137
 MIN_REL = 0.00021
@@ -52,9 +53,9 @@ def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(grams: DataFrame) -> DataFrame:
-    """The 20 most frequent left words."""
-    return (grams.groupBy("w1").agg(F.sum("match_count").alias("n"))
-            .orderBy(F.col("n").desc(), "w1").limit(20).select(F.col("w1").alias("word")))
+    """The 20 most frequent left words, written once."""
+    return pin(grams.groupBy("w1").agg(F.sum("match_count").alias("n"))
+            .orderBy(F.col("n").desc(), "w1").limit(20).select(F.col("w1").alias("word")), "stop-words")
 
 
 def raw_lines(grams: DataFrame) -> DataFrame:

@@ -296,7 +296,6 @@ def route_results(spark, sf):
 def quarantine_bad_lines(spark, sf):
     damaged = F.when(F.col("product_id") % 9 == 4, F.substring("line", 1, 40)).otherwise(F.col("line"))
     lines = fx.product_lines(spark, sf).select(F.col("product_id").alias("line_no"), damaged.alias("line"))
-    # the corrupt column cannot be read alone from the parser
     parsed = psrc.parse_product_lines(lines)
     good = psrc.good_products(parsed).select("line_no", F.lit(False).alias("is_bad"), F.col("title").alias("content"))
     bad = psrc.quarantined_lines(parsed).select("line_no", F.lit(True).alias("is_bad"), F.col("line").alias("content"))
