@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from wordkin.metrics import observe_rows
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, parse_ngrams
 from wordkin.plans.collocations import extract_collocations
 from wordkin.plans.reviews import run_reviews
@@ -47,11 +48,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"wordkin-{options.job}")
     if options.job == "collocations":
         read = read_sequence_lines if options.format == "sequence" else read_text_lines
+        lines, line_count = observe_rows(read(spark, options.input), "lines")
+        valid, valid_count = observe_rows(parse_ngrams(lines), "valid")
         found = extract_collocations(
-            parse_ngrams(read(spark, options.input)), read_stop_words(spark, options.stop_words),
-            options.min_npmi, options.min_rel, options.start, options.end,
-            sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False)
+            valid, read_stop_words(spark, options.stop_words), options.min_npmi, options.min_rel,
+            options.start, options.end, sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False)
         write_collocations(found, options.output)
+        if options.work_dir is None:
+            # a run that takes up finished tables does not read the corpus again
+            print(f"lines {line_count.get['rows']}, valid {valid_count.get['rows']}")
+        print(f"found {spark.read.text(options.output).count()}")
     else:
         half = len(options.paths) // 2
         table = spark.read.option("sep", "\t").option("quote", "")

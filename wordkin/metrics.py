@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def observe_rows(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:
-    """Count the rows that pass while the job runs, for monitoring. A repeated task may count twice."""
+    """Count the rows that pass while the job runs, for monitoring. Rows that pass twice count twice: in a
+    repeated task, and below a global sort, which first samples its input."""
     seen = Observation(stage)
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 

@@ -122,10 +122,13 @@ def assemble_files(fragments: DataFrame, **skew) -> DataFrame:
     ``fragments`` has ``file_key, fragment_no, expected, line``; a redelivered fragment counts once.
     Order by file and fragment number, or range-partition by them, to write the assembled files.
     """
-    arrived = fragments.dropDuplicates(["file_key", "fragment_no"])
-    files = arrived.groupBy("file_key").agg(F.count("*").alias("n"), F.max("expected").alias("_expected"))
+    # counting reads the keys alone, without the lines
+    keys = fragments.select("file_key", "fragment_no", "expected").dropDuplicates(["file_key", "fragment_no"])
+    files = keys.groupBy("file_key").agg(F.count("*").alias("n"), F.max("expected").alias("_expected"))
     complete = files.where(F.col("n") == F.col("_expected"))
-    return (join_totals(arrived, complete, ["file_key"], ["fragment_no"], "n", "_expected", hot_limit(arrived, **skew))
+    arrived = fragments.select("file_key", "fragment_no", "line").dropDuplicates(["file_key", "fragment_no"])
+    return (join_totals(arrived, complete, ["file_key"], ["fragment_no"], "n", "_expected",
+                        hot_limit(fragments, **skew))
             .select("file_key", "fragment_no", "line"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wordkin.functions.text import BLANKS
+from wordkin.operators.skew import broadcast_if_small
 from wordkin.schemas import CORRUPT, PRODUCT_OR_CORRUPT
 from wordkin.storage import pin
 
@@ -95,4 +96,4 @@ def pair_outputs(products: DataFrame, outputs: dict[str, str]) -> DataFrame:
     """
     spark = products.sparkSession
     pairs = [(file, out) for path, out in outputs.items() for file in listed_files(spark, path)]
-    return products.join(spark.createDataFrame(pairs, "file string, out string"), "file")
+    return products.join(broadcast_if_small(spark.createDataFrame(pairs, "file string, out string")), "file")
