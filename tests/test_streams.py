@@ -96,5 +96,6 @@ def test_completeness_out_of_order_and_redelivered(spark, tmp_path):
         spark.createDataFrame(arriving, schema).coalesce(1).write.mode("append").parquet(folder)
         stream = spark.readStream.schema(schema).parquet(folder)
         work.stream_full_bitmaps(stream, out, offsets, availableNow=True).awaitTermination()
-        files = work.complete_files(spark.read.schema("file_key string, bucket long, expected long").parquet(out))
+        files = work.complete_files(spark.read.schema("file_key string, bucket long, expected long, batch_id long").parquet(out))
         assert {(r.file_key, r.fragments) for r in files.collect()} == complete
+    assert {r.file_key: r.completed_in for r in files.collect()} == {"a": 2, "c": 2, "big": 2, "b": 3}

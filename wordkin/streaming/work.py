@@ -39,11 +39,17 @@ def full_bitmaps(bitmaps: DataFrame) -> DataFrame:
 
 
 def complete_files(full: DataFrame) -> DataFrame:
-    """Files all of whose bitmaps are full: ``file_key, fragments``."""
-    return (full.dropDuplicates(["file_key", "bucket"]).groupBy("file_key")
-            .agg(F.count("*").alias("full"), F.max("expected").alias("fragments"))
+    """Files all of whose bitmaps are full: ``file_key, fragments, completed_in``.
+
+    ``full`` is what :func:`stream_full_bitmaps` has written; ``completed_in`` is the one batch in which
+    the last gap of the file was closed, and so the batch to announce it after.
+    """
+    return (full.groupBy("file_key", "bucket")
+            .agg(F.max("expected").alias("expected"), F.min("batch_id").alias("batch_id"))
+            .groupBy("file_key")
+            .agg(F.count("*").alias("full"), F.max("expected").alias("fragments"), F.max("batch_id").alias("completed_in"))
             .where(F.col("full") == F.ceil(F.col("fragments") / BITMAP_BITS))
-            .select("file_key", "fragments"))
+            .select("file_key", "fragments", "completed_in"))
 
 
 def stream_full_bitmaps(fragments: DataFrame, out_dir: str, checkpoint: str, **trigger) -> StreamingQuery:

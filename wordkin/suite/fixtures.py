@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordkin.operators.reviews import product_json
@@ -40,22 +40,33 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+def _word_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id`` and the words ``w`` of each document."""
+    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    # exploding the one-element array keeps filters on the words above it, so that a text is split once
+    return documents.select("doc_id", F.explode(F.array(F.array_remove(F.split("text", r"\s+"), ""))).alias("w"))
+
+
+def _left_words() -> Column:
+    return F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))
+
+
 def ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbouring words of the documents with a made-up year: ``w1, w2, year, match_count``."""
-    documents = _spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    word = F.array_remove(F.split("text", r"\s+"), "")
-    pairs = (documents.select((F.lit(1480) + F.col("doc_id") * 7 % 560).cast("int").alias("year"), word.alias("w"))
-             .where(F.size("w") >= 2)
-             .select("year", F.explode(F.arrays_zip(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))).alias("w1"),
-                                                    F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))).alias("w2"))).alias("p")))
+    right = F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0)))
+    year = (F.lit(1480) + F.col("doc_id") * 7 % 560).cast("int")
+    pairs = _word_lists(spark, sf_dir).select(
+        year.alias("year"), F.explode(F.arrays_zip(_left_words().alias("w1"), right.alias("w2"))).alias("p"))
     return (pairs.groupBy("p.w1", "p.w2", "year").agg(F.count("*").alias("match_count"))
             .select("w1", "w2", "year", "match_count"))
 
 
-def stop_words(grams: DataFrame) -> DataFrame:
-    """The 20 most frequent left words, written once."""
-    return pin(grams.groupBy("w1").agg(F.sum("match_count").alias("n"))
-            .orderBy(F.col("n").desc(), "w1").limit(20).select(F.col("w1").alias("word")), "stop-words")
+def stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 most frequent left words of the 2-grams, written once. Each left word is one position in a
+    text, so they are counted there, without forming the pairs."""
+    words = _word_lists(spark, sf_dir).select(F.explode(_left_words()).alias("word"))
+    counted = words.groupBy("word").agg(F.count("*").alias("n"))
+    return pin(counted.orderBy(F.col("n").desc(), "word").limit(20).select("word"), "stop-words")
 
 
 def raw_lines(grams: DataFrame) -> DataFrame:

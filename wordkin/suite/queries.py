@@ -33,9 +33,7 @@ PAIRS = "w1 string, w2 string, c bigint, decade int"
 # ---- collocations ---------------------------------------------------------------------------
 
 def _kept(spark: SparkSession, sf: str) -> DataFrame:
-    """2-grams without stop words, written once: the stop list and the job both read the corpus."""
-    grams = pin(fx.ngrams(spark, sf), "ngrams")
-    return ng.drop_stop_words(grams, fx.stop_words(grams))
+    return ng.drop_stop_words(fx.ngrams(spark, sf), fx.stop_words(spark, sf))
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,8 +146,7 @@ def _rounded(found: DataFrame) -> DataFrame:
 
 
 def extract(spark, sf):
-    grams = pin(fx.ngrams(spark, sf), "ngrams")
-    return _rounded(extract_collocations(grams, fx.stop_words(grams), fx.MIN_NPMI, fx.MIN_REL))
+    return _rounded(extract_collocations(fx.ngrams(spark, sf), fx.stop_words(spark, sf), fx.MIN_NPMI, fx.MIN_REL))
 
 
 def collocations_ranked(spark, sf):
@@ -171,10 +168,9 @@ def write_collocations(spark, sf):
 
 
 def stage_counts(spark, sf):
-    grams = pin(fx.ngrams(spark, sf), "ngrams")
-    lines = fx.raw_lines(grams)
+    lines = pin(fx.raw_lines(fx.ngrams(spark, sf)), "lines")
     valid = ng.parse_ngrams(lines)
-    kept = ng.drop_stop_words(valid, fx.stop_words(grams))
+    kept = ng.drop_stop_words(valid, fx.stop_words(spark, sf))
     pairs = pin(ng.roll_up_decades(kept), "pairs")
     found = find_collocations(pairs, fx.MIN_NPMI, fx.MIN_REL)
     return metrics.count_stages({
@@ -373,7 +369,7 @@ def stream_assemble(spark, sf):
     path, out = arrived.inputFiles()[0].rsplit("/", 1)[0], scratch_folder(spark, "full")
     stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1000).parquet(path)
     work.stream_full_bitmaps(stream, out, scratch_folder(spark, "offsets"), availableNow=True).awaitTermination()
-    return work.complete_files(spark.read.parquet(out))
+    return work.complete_files(spark.read.parquet(out)).select("file_key", "fragments")
 
 
 QUERIES: dict[str, Query] = {
