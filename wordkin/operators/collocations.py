@@ -44,13 +44,13 @@ def marginals_in_one_pass(pairs: DataFrame) -> DataFrame:
                     .otherwise(F.col("total")).alias("total")))
 
 
-def join_left_counts(pairs: DataFrame, left: DataFrame, limit: Column, keep_unmatched: bool = False) -> DataFrame:
+def join_left_counts(pairs: DataFrame, left: DataFrame, limit: float | None, keep_unmatched: bool = False) -> DataFrame:
     """Add c(w1). With ``keep_unmatched`` a pair without a count stays and gets -1."""
     joined = join_totals(pairs, left, ["decade", "w1"], ["w2"], "pairs1", "c1", limit, keep_unmatched)
     return joined.fillna(-1, ["c1"]) if keep_unmatched else joined
 
 
-def join_right_counts(pairs: DataFrame, right: DataFrame, limit: Column, keep_unmatched: bool = False) -> DataFrame:
+def join_right_counts(pairs: DataFrame, right: DataFrame, limit: float | None, keep_unmatched: bool = False) -> DataFrame:
     """Add c(w2). With ``keep_unmatched`` a pair without a count stays and gets -1."""
     joined = join_totals(pairs, right, ["decade", "w2"], ["w1"], "pairs2", "c2", limit, keep_unmatched)
     return joined.fillna(-1, ["c2"]) if keep_unmatched else joined

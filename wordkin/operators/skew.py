@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from wordkin.storage import pin
 # A key is hot when it has more than HOT_SHARE of all rows, so fewer than 1/HOT_SHARE keys are hot
 # and the list of them can be broadcast whatever the size of the data.
 HOT_SHARE = 1e-4
-HOT_MIN_ROWS = 1_000_000
+HOT_MIN_ROWS = 4_000_000
 
 # word lists up to this size are broadcast
 BROADCAST_BYTES = 64 << 20
@@ -30,13 +30,17 @@ def broadcast_if_small(words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Da
     return F.broadcast(words) if size <= max_bytes else words
 
 
-def hot_limit(rows: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> Column:
-    """The number of rows above which a key is hot. Counts ``rows`` in a scalar subquery."""
-    return F.greatest(F.lit(float(hot_min_rows)), rows.agg(F.count(F.lit(1))).scalar() * F.lit(hot_share))
+def hot_limit(rows: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> float | None:
+    """The number of rows above which a key is hot; None if the table is too small to have a hot key.
+
+    Counts ``rows``, which for a written table takes the file footers only.
+    """
+    n = rows.count()
+    return max(float(hot_min_rows), n * hot_share) if n > hot_min_rows else None
 
 
 def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread: Sequence[str],
-                n_rows: str, total: str, limit: Column, keep_unmatched: bool = False) -> DataFrame:
+                n_rows: str, total: str, limit: float | None, keep_unmatched: bool = False) -> DataFrame:
     """Add to ``rows`` the column ``total`` of the ``totals`` row with the same keys.
 
     ``totals`` is unique on ``keys`` and its column ``n_rows`` says how many ``rows`` each key has. Rows of
@@ -46,6 +50,8 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread:
 
     Rows without a total are dropped, or kept with a null total.
     """
+    if limit is None:
+        return rows.join(totals.select(*keys, total), list(keys), "left" if keep_unmatched else "inner")
     is_hot = F.col(n_rows) > limit
     # fewer than 1/hot_share rows, by the definition of the limit
     hot = F.broadcast(totals.where(is_hot).select(*keys, F.col(total).alias("_hot"), F.col(n_rows).alias("_hot_rows")))
