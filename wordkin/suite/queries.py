@@ -200,7 +200,8 @@ def scan_seqfile(spark, sf):
 def _exploded(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews of the nested products, with the position in the whole product."""
     rows = rv.explode_reviews(fx.products(spark, sf), "product_id", "part")
-    return rows.withColumn("pos", F.col("part") * fx.TURNS_PER_PRODUCT + F.col("pos")).drop("part")
+    pos = F.col("part").cast("bigint") * fx.TURNS_PER_PRODUCT + F.col("pos")
+    return rows.withColumn("pos", pos).drop("part")
 
 
 def _processed(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +314,7 @@ def charset_fallback(spark, sf):
     sink.write_json_lines(lines.withColumn("line", F.when(F.col("latin"), latin).otherwise(F.col("line"))),
                           path, "file_key", ["product_id", "part"])
     products = psrc.good_products(psrc.read_products(spark, path, charset_fallback=True))
-    return rv.explode_reviews(products).select("link", "pos", "text")
+    return rv.explode_reviews(products).select("link", F.col("pos").cast("bigint").alias("pos"), "text")
 
 
 def multi_file_outputs(spark, sf):
