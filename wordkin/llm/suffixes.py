@@ -136,9 +136,9 @@ class SuffixArrays:
         occurrences, and of different runs of the suffix."""
         every = reduce(DataFrame.unionByName, self.levels.values()).groupBy("suffix", "run").agg(F.sum("n").alias("n"))
         met = reduce(DataFrame.unionByName, self.met).distinct()
-        found = pin(every.join(broadcast_if_small(pin(met, "all-met-suffixes")), "suffix"), "repeated-runs")
+        found = pin(every.join(pin(met, "all-met-suffixes"), "suffix"), "repeated-runs")
         variants = pin(found.groupBy("suffix").agg(F.count("*").alias("m")), "run-variants")
-        return found.join(broadcast_if_small(variants), "suffix").select("run", "suffix", "n", "m")
+        return found.join(variants, "suffix").select("run", "suffix", "n", "m")
 
 
 #: different runs of one suffix whose windows a task compares; the windows of others are compared by a shuffle
@@ -273,7 +273,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batc
     family = SuffixArrays()
     for batch in range(batches):
         family.add(runs if batches == 1 else runs.where(F.pmod("row", F.lit(batches)) == batch))
-    repeated = broadcast_if_small(pin(family.repeated(), "repeated-runs-of-all"))
+    # both grow with the corpus: plain joins, which skew handling may split
+    repeated = pin(family.repeated(), "repeated-runs-of-all")
     found = pin(runs.select("row", "first", "size", "run").join(repeated, "run"), "found-runs")
     whole = found.where("n > 1")
     # one place of each repeated run stands for all in the comparison with the ends of passages
