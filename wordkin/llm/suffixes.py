@@ -142,7 +142,7 @@ class SuffixArrays:
 
 
 #: different runs of one suffix whose windows a task compares; the windows of others are compared by a shuffle
-VARIANTS = 256
+VARIANTS = 512
 #: runs whose windows are compared at a time
 CHUNK_RUNS = 2_000
 
@@ -223,28 +223,59 @@ def _compare(length: int):
     return run
 
 
-def _explode(length: int):
+def _count_windows(length: int):
+    """The different windows of each suffix, with the numbers of runs that have them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = text_bytes(batch.column("bytes"))
             run, hashes = _window_hashes(data, at, length)
-            first = batch.column("first").to_numpy()[run] + np.arange(len(run)) - np.searchsorted(run, run)
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column("row").to_numpy()[run]), pa.array(first.astype(np.int32)), pa.array(hashes.view(np.int64))], ["row", "first", "h"])
+            suffix, slot = np.unique(batch.column("suffix").to_numpy(), return_inverse=True)
+            order = np.lexsort((hashes, slot[run]))
+            slots, hashes = slot[run][order], hashes[order]
+            new = np.ones(len(hashes), bool)
+            new[1:] = (slots[1:] != slots[:-1]) | (hashes[1:] != hashes[:-1])
+            begin = np.flatnonzero(new)
+            counts = np.diff(np.concatenate([begin, [len(hashes)]]))
+            yield pa.RecordBatch.from_arrays([pa.array(suffix[slots[begin]]), pa.array(hashes[begin].view(np.int64)), pa.array(counts)], ["suffix", "h", "n"])
 
     return run
 
 
+def _mark_windows(length: int):
+    """Stretches of a run's windows that are in the list beside it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[], [], []]
+            for row, first, text, again in zip(*(batch.column(c).to_pylist() for c in ("row", "first", "bytes", "again")), strict=True):
+                hashes = SpanHasher(np.frombuffer(text, np.uint8)).windows(length).view(np.int64)
+                hit = np.concatenate([[False], np.isin(hashes, np.asarray(again)), [False]])
+                edges = np.flatnonzero(hit[1:] != hit[:-1])
+                for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                    for column, value in zip(out, (row, first + begin, end - begin), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["row", "first", "size"])
+
+    return run
+
+
+#: repeated windows in one row of a hot suffix's list, about
+LISTED = 4096
+
+
 def compare_windows(edges: DataFrame, length: int, variants: int = VARIANTS) -> DataFrame:
     """``row, first, size``: stretches of windows of ``edges`` (``row, first, suffix, m, bytes``) that another one has too."""
     schema = "row bigint, first int, size int"
     few = edges.where(F.col("m") <= variants).select("row", "first", "suffix", "bytes")
     found = few.repartition("suffix").sortWithinPartitions("suffix").mapInArrow(_compare(length), schema)
-    # a suffix with very many different runs: its windows are counted one by one, wherever they are
-    many = edges.where(F.col("m") > variants).select("row", "first", "bytes")
-    windows = pin(many.mapInArrow(_explode(length), "row bigint, first int, h bigint"), "hot-windows")
-    again = pin(windows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "hot-hashes")
-    single = windows.join(broadcast_if_small(again), "h", "left_semi").select("row", "first", F.lit(1).alias("size"))
-    return found.unionByName(single)
+    # a suffix with very many different runs: its windows are counted wherever they are, and the list of the
+    # repeated ones, in rows of bounded size, goes to its runs
+    many = edges.where(F.col("m") > variants).select("row", "first", "suffix", "bytes")
+    counts = many.mapInArrow(_count_windows(length), "suffix bigint, h bigint, n bigint").groupBy("suffix", "h").agg(F.sum("n").alias("n"))
+    again = pin(counts.where("n > 1").select("suffix", "h"), "hot-windows")
+    parts = again.groupBy("suffix").agg(F.ceil(F.count("*") / LISTED).alias("parts"))
+    lists = again.join(parts, "suffix").groupBy("suffix", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(F.collect_list("h").alias("again"))
+    marked = many.join(pin(lists.select("suffix", "again"), "hot-lists"), "suffix").select("row", "first", "bytes", "again").mapInArrow(_mark_windows(length), schema)
+    return found.unionByName(marked)
 
 
 def _merge_spans(length: int):
