@@ -60,12 +60,12 @@ def test_hot_keys_give_the_same_scores(spark):
     data = pin(skewed(spark), "skewed")
     want = by_hand([tuple(r) for r in data.select("decade", "w1", "w2", "c").collect()])
     assert_same_scores(scores(co.score_pairs(data)), want)
-    assert_same_scores(scores(co.score_pairs(data, hot_min_rows=10, hot_share=0.01)), want)
+    assert_same_scores(scores(co.score_pairs(data, rows_per_slice=10)), want)
 
 
 def test_hot_rows_are_spread(spark):
     data = pin(skewed(spark), "skewed")
-    joined = co.join_left_counts(data, co.left_marginal(data), hot_limit(data, 0.01, 10))
+    joined = co.join_left_counts(data, co.left_marginal(data), hot_limit(data, 10))
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     keys = [line for line in plan.splitlines() if "Join LeftOuter" in line and "_slice" in line]
     # the slice is compared between the two sides, not with a constant
@@ -149,9 +149,14 @@ def test_all_in_one_order_and_resume(spark, tmp_path):
         assert npmis == sorted(npmis, reverse=True) and npmis
     assert not any(r[1] == "the" for r in first)
     assert {"pairs", "scored", "sizes", "totals"} <= set(os.listdir(work))
-    # the finished tables are taken up again
-    again = extract_collocations(grams.limit(0), stop, -1.0, 1.0, work_dir=work)
+    # the finished tables are taken up again, and other runs are refused
+    again = extract_collocations(grams, stop, -1.0, 1.0, work_dir=work)
     assert [tuple(r) for r in again.collect()] == first
+    for other in ({"start": 1950}, {"sum_mode": "exact"}, {"source": "elsewhere"}):
+        with pytest.raises(ValueError):
+            extract_collocations(grams, stop, -1.0, 1.0, work_dir=work, **other)
+    with pytest.raises(ValueError):
+        extract_collocations(grams, stop.limit(0), -1.0, 1.0, work_dir=work)
 
 
 def test_rank_without_one_task_per_decade(spark):

@@ -107,15 +107,19 @@ def processed(spark, n=5, product="p", link="l"):
                                        "entities array<string>, is_sarcastic boolean").repartition(3)
 
 
-def test_entries_keep_order_and_lines_stay_bounded(spark):
+def test_entries_keep_order_in_one_line(spark):
     whole = rv.collect_entries(processed(spark), ["product"]).collect()
-    assert [(r.product, r.part) for r in whole] == [("p", 0)]
+    assert [r.product for r in whole] == ["p"]
     entries = json.loads(whole[0].line)["processedEntries"]
     assert entries[0] == {"link": "l0", "color": "RED", "namedEntities": [], "isSarcastic": True}
     assert [e["link"] for e in entries] == ["l0", "l1", "l2", "l3", "l4"]
-    split = rv.collect_entries(processed(spark), ["product"], per_line=2).orderBy("part").collect()
-    assert [r.part for r in split] == [0, 1, 2]
-    assert [e for r in split for e in json.loads(r.line)["processedEntries"]] == entries
+    many = spark.range(100_001).selectExpr("'p' AS product", "id AS pos", "'l' AS link", "'RED' AS color",
+                                           "array('Ann') AS entities", "false AS is_sarcastic")
+    large = rv.collect_entries(many, ["product"]).collect()
+    assert len(large) == 1 and len(json.loads(large[0].line)["processedEntries"]) == 100_001
+    empty = spark.createDataFrame([("p",), ("q",)], "product string")
+    lines = {r.product: r.line for r in rv.collect_entries(processed(spark), ["product"], products=empty).collect()}
+    assert lines == {"p": whole[0].line, "q": '{"processedEntries":[]}'}
 
 
 def test_product_json_keeps_null_fields(spark):
@@ -166,7 +170,7 @@ def test_hot_file_gives_the_same(spark):
     rows = [("big", i, 400, f"x{i}") for i in range(1, 401)] + [(f"s{i}", 1, 1 + i % 2, "y") for i in range(30)]
     df = fragments(spark, *rows)
     want = sorted(map(tuple, rv.assemble_files(df).collect()))
-    assert want == sorted(map(tuple, rv.assemble_files(df, hot_min_rows=5, hot_share=0.01).collect()))
+    assert want == sorted(map(tuple, rv.assemble_files(df, rows_per_slice=5).collect()))
     assert len(want) == 400 + 15
 
 
@@ -225,19 +229,25 @@ def test_files_to_reports(spark, tmp_path, lexicon, gazetteer):
     inputs = tmp_path / "in"
     inputs.mkdir()
     (inputs / "a.json").write_text(product("p", "Good.", "Bad.") + "\n" + product("q", "Ann!") + "\n")
-    (inputs / "b.json").write_text(product("r", "Great, in Rome.") + "\n")
+    (inputs / "b.json").write_text(product("r", "Great, in Rome.") + "\n{broken\n" + product("s") + "\n")
+    (inputs / "c.json").write_text(product("t") + "\n")
     out = str(tmp_path / "out")
-    run_reviews(spark, {str(inputs / "a.json"): "one", str(inputs / "b.json"): "two"}, out, lexicon, gazetteer)
+    run_reviews(spark, {str(inputs / f"{f}.json"): n for f, n in zip("abc", ("one", "two", "none"))}, out, lexicon, gazetteer)
+    assert [(r.out, r.line) for r in spark.read.parquet(f"{out}/quarantine").collect()] == [("two", "{broken")]
+    frame = f"{out}/html/report=none"
+    assert "html" in "".join(open(f"{frame}/{f}").read() for f in sorted(os.listdir(frame)) if f.endswith(".txt"))
+    with pytest.raises(ValueError):
+        run_reviews(spark, {"a": "one", "b": "one"}, out, lexicon, gazetteer)
     lines = {}
-    for name in ("one", "two"):
+    for name in ("one", "two", "none"):
         folder = f"{out}/json/out={name}"
         text = "".join(open(f"{folder}/{f}").read() for f in sorted(os.listdir(folder)) if f.endswith(".txt"))
         lines[name] = [[(e["link"], e["color"], e["namedEntities"]) for e in json.loads(line)["processedEntries"]]
                        for line in text.splitlines()]
     assert lines == {
         "one": [[("l-p-0", "LIGHT_GREEN", []), ("l-p-1", "RED", [])], [("l-q-0", "BLACK", ["Ann"])]],
-        "two": [[("l-r-0", "LIGHT_GREEN", ["Rome"])]]}
-    assert sorted(os.listdir(f"{out}/html"))[-2:] == ["report=one", "report=two"]
+        "two": [[("l-r-0", "LIGHT_GREEN", ["Rome"])], []], "none": [[]]}
+    assert sorted(os.listdir(f"{out}/html"))[-3:] == ["report=none", "report=one", "report=two"]
 
 
 def test_places_give_the_input_order(spark, tmp_path, lexicon, gazetteer):

@@ -52,7 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         valid, valid_count = observe_rows(parse_ngrams(lines), "valid")
         found = extract_collocations(
             valid, read_stop_words(spark, options.stop_words), options.min_npmi, options.min_rel,
-            options.start, options.end, sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False)
+            options.start, options.end, sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False,
+            source=" ".join(options.input))
         write_collocations(found, options.output)
         if options.work_dir is None:
             # a run that takes up finished tables does not read the corpus again
@@ -60,6 +61,8 @@ def main(argv: list[str] | None = None) -> None:
         print(f"found {spark.read.text(options.output).count()}")
     else:
         half = len(options.paths) // 2
+        if len(set(options.paths[:half])) < half or len(set(options.paths[half:])) < half:
+            raise SystemExit("each input and each output name may be given once")
         table = spark.read.option("sep", "\t").option("quote", "")
         run_reviews(spark, dict(zip(options.paths[:half], options.paths[half:])), options.output,
                     table.schema("word string, polarity int").csv(options.lexicon),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from wordkin.functions import scores
 from wordkin.operators.ngrams import decade_label
 from wordkin.operators.skew import hot_limit, join_totals, number_within
+from wordkin.storage import pin
 
 MAX_DECADES = 1000
 
@@ -68,9 +69,10 @@ def score_pairs(pairs: DataFrame, **skew) -> DataFrame:
     """
     counted = pairs.where(F.col("c") > 0)
     limit = hot_limit(counted, **skew)
-    joined = join_left_counts(counted, left_marginal(counted), limit)
+    left = pin(left_marginal(counted), "left-marginal")
+    joined = join_left_counts(counted, left, limit)
     joined = join_right_counts(joined, right_marginal(counted), limit)
-    joined = join_decades(joined, corpus_size(counted))
+    joined = join_decades(joined, corpus_size(left, "c1"))
     figures = [F.col(name) for name in ("c", "c1", "c2", "n")]
     return joined.select("decade", "w1", "w2", *figures,
                          scores.pmi(*figures).alias("pmi"), scores.npmi(*figures).alias("npmi"))
@@ -129,11 +131,12 @@ def rank_collocations(found: DataFrame) -> DataFrame:
     return number_within(found, ["decade"], strongest_first(), "rank", "ranked", max_groups=MAX_DECADES)
 
 
-def collocation_line() -> Column:
-    """``w1 <tab> w2 <tab> NPMI:<score>``"""
-    return F.concat_ws("\t", "w1", "w2", F.concat(F.lit("NPMI:"), F.col("npmi").cast("string")))
+def collocation_line(digits: int | None = None) -> Column:
+    """``w1 <tab> w2 <tab> NPMI:<score>``, the score in full or with a fixed number of decimals."""
+    score = F.col("npmi").cast("string") if digits is None else F.format_string(f"%.{digits}f", F.round("npmi", digits))
+    return F.concat_ws("\t", "w1", "w2", F.concat(F.lit("NPMI:"), score))
 
 
-def format_collocations(found: DataFrame) -> DataFrame:
+def format_collocations(found: DataFrame, digits: int | None = None) -> DataFrame:
     """``decade`` label and output line."""
-    return found.select(decade_label(F.col("decade")).alias("decade"), collocation_line().alias("line"))
+    return found.select(decade_label(F.col("decade")).alias("decade"), collocation_line(digits).alias("line"))

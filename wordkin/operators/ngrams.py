@@ -14,10 +14,10 @@ LAST_YEAR = 2029
 
 
 def tokenise_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """The first four tokens of each line, by position, and how many there are (5 stands for more)."""
+    """The first four tokens of each line, by position, and how many there are."""
     # exploding the one-element array keeps filters on the tokens above it: pushed below, every one of
     # them would split the line again
-    token = lines.select(F.explode(F.array(words(F.col(column), 5))).alias("t"))
+    token = lines.select(F.explode(F.array(words(F.col(column)))).alias("t"))
     blank = F.get("t", 0) == ""
     return token.select(F.when(~blank, F.get("t", 0)).alias("w1"), F.get("t", 1).alias("w2"),
                         F.get("t", 2).alias("year_token"), F.get("t", 3).alias("count_token"),

@@ -9,11 +9,7 @@ from pyspark.sql import functions as F
 
 from wordkin.functions import reviews as rules
 from wordkin.functions import text as tx
-from wordkin.operators.skew import BROADCAST_BYTES, broadcast_if_small, hot_limit, join_totals
-
-# an output line holds the results of at most this many reviews of a product
-ENTRIES_PER_LINE = 100_000
-
+from wordkin.operators.skew import BROADCAST_BYTES, fits_broadcast, hot_limit, join_totals
 
 def explode_reviews(products: DataFrame, *keep: str) -> DataFrame:
     """One row per review with its position in the product, from 0; columns ``keep`` go along."""
@@ -59,12 +55,19 @@ def annotate_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame
                                  lambda word, i: event("name", i, word)))
     exploded = reviews.select(*keys, *carry, F.col("_sentence").isNotNull().alias("_has_sentence"),
                               F.explode(F.concat(*lists)).alias("event"))
-    is_anchor = F.col("kind") == "review"
-    rows = exploded.select(*keys, "event.*", F.when(F.col("event.kind") == "review", kept).alias("_kept"),
-                           "_has_sentence")
-    dictionary = broadcast_if_small(_dictionary(lexicon, gazetteer), max_bytes)
-    hits = (rows.join(dictionary, ["kind", "word"], "left")
-            .where(is_anchor | F.col("polarity").isNotNull()))
+    is_anchor = F.col("event.kind") == "review"
+    dictionary = _dictionary(lexicon, gazetteer)
+    rows = exploded.select(*keys, "event.*", F.when(is_anchor, kept).alias("_kept"), "_has_sentence")
+    if fits_broadcast(dictionary, max_bytes):
+        hits = (rows.join(F.broadcast(dictionary), ["kind", "word"], "left")
+                .where((F.col("kind") == "review") | F.col("polarity").isNotNull()))
+    else:
+        # anchors have no word and would all meet in one task of a shuffled join
+        anchors = reviews.select(*keys, F.lit("review").alias("kind"), F.lit(None).cast("string").alias("word"), F.lit(-1).alias("at"),
+                                 kept.alias("_kept"), F.col("_sentence").isNotNull().alias("_has_sentence"),
+                                 F.lit(None).cast("bigint").alias("polarity"))
+        words = rows.where("word is not null").join(dictionary, ["kind", "word"])
+        hits = words.select(*anchors.columns).unionByName(anchors)
 
     figures = [F.first("_kept", ignorenulls=True).alias("_kept")]
     if lexicon is not None:
@@ -97,16 +100,19 @@ def entry_of() -> Column:
 
 
 def collect_entries(processed: DataFrame, keys: Sequence[str], pos: str = "pos",
-                    per_line: int = ENTRIES_PER_LINE) -> DataFrame:
-    """Processed reviews back into one JSON line per product: ``keys, part, line``, reviews in order.
+                    products: DataFrame | None = None) -> DataFrame:
+    """Processed reviews back into one JSON line per product: ``keys, line``, reviews in order.
 
-    ``pos`` counts from 0 in the product. A product with more than ``per_line`` reviews gets further
-    lines, numbered by ``part``, so that a line stays bounded however large a product is; read in
-    order they hold the same entries.
+    A product came as one row and goes as one row, so its line is as bounded as its input was. ``products``
+    (``keys``) adds a line without entries for products that have no reviews.
     """
-    return (processed.groupBy(*keys, F.floor(F.col(pos) / per_line).cast("int").alias("part"))
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(pos).alias("at"), entry_of().alias("entry")))).alias("_e"))
-            .select(*keys, "part",
+    entry = F.struct(F.col(pos).alias("at"), entry_of().alias("entry"))
+    rows = processed.select(*keys, entry.alias("_entry"))
+    if products is not None:
+        rows = rows.unionByName(products.select(*keys, F.lit(None).cast(rows.schema["_entry"].dataType).alias("_entry")))
+    # nulls, which stand for the product itself, are not collected
+    return (rows.groupBy(*keys).agg(F.array_sort(F.collect_list("_entry")).alias("_e"))
+            .select(*keys,
                     F.to_json(F.struct(F.transform("_e", lambda e: e["entry"]).alias("processedEntries")),
                               {"ignoreNullFields": "false"}).alias("line")))
 

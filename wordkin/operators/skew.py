@@ -10,33 +10,36 @@ from pyspark.sql import functions as F
 
 from wordkin.storage import pin
 
-# A key is hot when it has more than HOT_SHARE of all rows, so fewer than 1/HOT_SHARE keys are hot
-# and the list of them can be broadcast whatever the size of the data.
-HOT_SHARE = 1e-4
-HOT_MIN_ROWS = 4_000_000
+# A key with more rows than a slice is hot: its rows go to as many tasks as it has slices. The size of a
+# slice doesn't depend on the size of the data.
+ROWS_PER_SLICE = 1_000_000
 
 # word lists up to this size are broadcast
 BROADCAST_BYTES = 64 << 20
 
 
+def fits_broadcast(words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a list, whose size is counted here, is small enough to be broadcast."""
+    width = sum((F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in words.columns), F.lit(16))
+    size = words.agg(F.sum(width).alias("size")).first()["size"] or 0
+    return size <= max_bytes
+
+
 def broadcast_if_small(words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a list for broadcast if its size, which is counted here, allows it.
 
     A larger list is left to a shuffled join. Pass a table, not a long computation: it is read once
     for the count.
     """
-    width = sum((F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16 for name in words.columns), F.lit(16))
-    size = words.agg(F.sum(width).alias("size")).first()["size"] or 0
-    return F.broadcast(words) if size <= max_bytes else words
+    return F.broadcast(words) if fits_broadcast(words, max_bytes) else words
 
 
-def hot_limit(rows: DataFrame, hot_share: float = HOT_SHARE, hot_min_rows: int = HOT_MIN_ROWS) -> float | None:
+def hot_limit(rows: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> float | None:
     """The number of rows above which a key is hot; None if the table is too small to have a hot key.
 
-    Counts ``rows``, which for a written table takes the file footers only.
+    Counts ``rows``, which for a written table without filters takes the file footers only.
     """
-    n = rows.count()
-    return max(float(hot_min_rows), n * hot_share) if n > hot_min_rows else None
+    return float(rows_per_slice) if rows.count() > rows_per_slice else None
 
 
 def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread: Sequence[str],
@@ -44,8 +47,8 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread:
     """Add to ``rows`` the column ``total`` of the ``totals`` row with the same keys.
 
     ``totals`` is unique on ``keys`` and its column ``n_rows`` says how many ``rows`` each key has. Rows of
-    keys with more than ``limit`` rows get their total from the broadcast list of those hot keys; in
-    the shuffled join that serves all others they are spread by the hash of the ``spread`` columns.
+    keys with more than ``limit`` rows get their total from the list of those hot keys, which is broadcast if its size
+    allows it; in the shuffled join that serves all others they are spread by the hash of the ``spread`` columns.
     Totals come out of an aggregation, where Spark's own skew handling does not look.
 
     Rows without a total are dropped, or kept with a null total.
@@ -53,8 +56,9 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: Sequence[str], spread:
     if limit is None:
         return rows.join(totals.select(*keys, total), list(keys), "left" if keep_unmatched else "inner")
     is_hot = F.col(n_rows) > limit
-    # fewer than 1/hot_share rows, by the definition of the limit
-    hot = F.broadcast(totals.where(is_hot).select(*keys, F.col(total).alias("_hot"), F.col(n_rows).alias("_hot_rows")))
+    hot = totals.where(is_hot).select(*keys, F.col(total).alias("_hot"), F.col(n_rows).alias("_hot_rows"))
+    # beyond that size a shuffled join, which reads written tables on both sides, so that Spark may split its hot keys
+    hot = broadcast_if_small(pin(hot, "hot-keys"))
     slices = F.pmod(F.xxhash64(*spread), F.ceil(F.col("_hot_rows") / limit)) + 1
     left = rows.join(hot, list(keys), "left").withColumn(
         "_slice", F.when(F.col("_hot_rows").isNull(), F.lit(0)).otherwise(slices.cast("int")))

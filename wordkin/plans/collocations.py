@@ -9,7 +9,7 @@ from wordkin.functions.scores import is_perfect
 from wordkin.operators import collocations as co
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, drop_stop_words, roll_up_decades
 from wordkin.sinks.tables import write_decade_figures
-from wordkin.storage import pin
+from wordkin.storage import check_run, digest, is_complete, pin
 
 
 def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mode: str = "truncated",
@@ -19,28 +19,37 @@ def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mod
     The pairs are read by the marginals, the sizes and the join, the scored pairs by the decade
     totals and the thresholds: both are written once, below the shared folder. With a ``work_dir``
     they are written there, next to the figures per decade, and a run that is started again takes up
-    the finished ones; use a new one for other input or another window.
+    the finished ones. A folder that was begun with another sum mode is refused.
     """
+    spark = pairs.sparkSession
+    if work_dir:
+        check_run(spark, f"{work_dir}/scores", sum_mode=sum_mode)
     pairs = pin(pairs, "pairs", work_dir)
     scored = co.score_pairs(pairs, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
     scored = pin(scored, "scored", work_dir)
     totals = co.score_totals(scored, sum_mode)
     if work_dir:
-        write_decade_figures(co.corpus_size(pairs), f"{work_dir}/sizes")
-        write_decade_figures(totals, f"{work_dir}/totals")
+        if not is_complete(spark, f"{work_dir}/sizes"):
+            write_decade_figures(co.corpus_size(pairs), f"{work_dir}/sizes")
+        if not is_complete(spark, f"{work_dir}/totals"):
+            write_decade_figures(totals, f"{work_dir}/totals")
+        totals = spark.read.schema(totals.schema).parquet(f"{work_dir}/totals")
     found = co.filter_collocations(scored, totals, min_npmi, min_rel, F.col("perfect"), fp_perfect)
     return found.select("decade", "w1", "w2", "npmi")
 
 
 def extract_collocations(ngrams: DataFrame, stop_words: DataFrame, min_npmi: float, min_rel: float,
                          start: int = FIRST_YEAR, end: int = LAST_YEAR, ordered: bool = True,
-                         **options) -> DataFrame:
+                         source: str = "", **options) -> DataFrame:
     """2-gram records to collocations, per decade, strongest first: ``decade, w1, w2, npmi``.
 
     ``ordered=False`` leaves the sorting to a writer that sorts itself. ``options`` are those of
-    :func:`find_collocations`.
+    :func:`find_collocations`. A ``work_dir`` belongs to one stop list, window and ``source``, a name for the input; a
+    run with others is refused.
     """
+    if options.get("work_dir"):
+        check_run(ngrams.sparkSession, options["work_dir"], start=start, end=end, stop_words=digest(stop_words), source=source)
     pairs = roll_up_decades(drop_stop_words(ngrams, stop_words), start, end)
     found = find_collocations(pairs, min_npmi, min_rel, **options)
     return co.sort_collocations(found) if ordered else found

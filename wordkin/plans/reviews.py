@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordkin.operators.reviews import ENTRIES_PER_LINE, collect_entries, explode_reviews, process_reviews
+from wordkin.operators.reviews import collect_entries, explode_reviews, process_reviews
 from wordkin.sinks.tables import write_html, write_json_lines
-from wordkin.sources.products import good_products, pair_outputs, read_products
+from wordkin.sources.products import good_products, quarantined_lines, read_paired, read_products
 from wordkin.storage import pin
 
 PLACE = ["file", "block", "line_id"]
@@ -26,15 +26,22 @@ def process_files(spark: SparkSession, paths: str | Sequence[str], lexicon: Data
 
 
 def run_reviews(spark: SparkSession, outputs: dict[str, str], folder: str, lexicon: DataFrame, gazetteer: DataFrame,
-                charset_fallback: bool = False, escape: bool = True,
-                per_line: int = ENTRIES_PER_LINE) -> None:
+                charset_fallback: bool = False, escape: bool = True) -> None:
     """Process the inputs of ``outputs`` (path of a file or folder, to output name) in one job.
 
-    Writes ``<folder>/json/out=<name>`` and ``<folder>/html/report=<name>``. The processed reviews
-    have two writers and are written once before.
+    Writes ``<folder>/json/out=<name>``, ``<folder>/html/report=<name>`` and the table ``<folder>/quarantine`` (``out, file,
+    block, line_id, line``) of lines that are not JSON. A product without reviews has a line without entries, an
+    input without reviews a report of header and footer. The products and the processed reviews have several
+    readers and are written once before.
     """
-    processed = pin(process_files(spark, list(outputs), lexicon, gazetteer, charset_fallback), "processed")
-    named = pair_outputs(processed, outputs)
-    lines = collect_entries(named, ["out", *PLACE], per_line=per_line)
-    write_json_lines(lines, f"{folder}/json", "out", [*PLACE, "part"])
-    write_html(named, f"{folder}/html", "out", [*PLACE, "pos"], escape)
+    if len(set(outputs.values())) < len(outputs):
+        raise ValueError("each input needs an output name of its own")
+    products = pin(read_paired(spark, outputs, charset_fallback), "products")
+    quarantined_lines(products, "out").write.mode("overwrite").parquet(f"{folder}/quarantine")
+    good = good_products(products)
+    keys = ["out", *PLACE]
+    processed = pin(process_reviews(explode_reviews(good, *keys), [*keys, "pos"], lexicon, gazetteer), "processed")
+    lines = collect_entries(processed, keys, products=good)
+    write_json_lines(lines, f"{folder}/json", "out", PLACE)
+    reports = spark.createDataFrame([(name,) for name in outputs.values()], "report string")
+    write_html(processed, f"{folder}/html", "out", [*PLACE, "pos"], escape, reports)

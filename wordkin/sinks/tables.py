@@ -31,9 +31,9 @@ def write_ordered_text(rows: DataFrame, path: str, folder: str, order: Sequence[
      .write.mode("overwrite").partitionBy(folder).text(path))
 
 
-def write_collocations(found: DataFrame, path: str) -> None:
+def write_collocations(found: DataFrame, path: str, digits: int | None = None) -> None:
     """``w1 <tab> w2 <tab> NPMI:<score>``, a folder per decade, strongest first."""
-    write_ordered_text(found.withColumn("line", collocation_line()), path, "decade", strongest_first(), "line")
+    write_ordered_text(found.withColumn("line", collocation_line(digits)), path, "decade", strongest_first(), "line")
 
 
 def write_decade_figures(figures: DataFrame, path: str) -> None:
@@ -46,8 +46,10 @@ def write_json_lines(lines: DataFrame, path: str, folder: str, order: Sequence[s
     write_ordered_text(lines, path, folder, [F.col(name) for name in order], line)
 
 
-def write_html(processed: DataFrame, path: str, report: str, order: Sequence[str], escape: bool = True) -> None:
+def write_html(processed: DataFrame, path: str, report: str, order: Sequence[str], escape: bool = True,
+               reports: DataFrame | None = None) -> None:
     """A report per value of the ``report`` column: header, one block per review in input order, footer.
-    Link and entities are escaped; ``escape=False`` writes them as they are."""
-    rows = html_rows(processed, report, order, escape)
+    Link and entities are escaped; ``escape=False`` writes them as they are. ``reports`` (``report``) names all
+    reports, also those without reviews."""
+    rows = html_rows(processed, report, order, escape, reports)
     write_ordered_text(rows, path, "report", [F.col("section"), *[F.col(name) for name in order]], "html")

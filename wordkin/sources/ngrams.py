@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordkin.storage import scratch_folder
+
 
 def _listed(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -18,14 +20,17 @@ def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
 
 def read_sequence_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Records of Hadoop SequenceFiles (offset, line): ``offset, value``.
+    """Lines of Hadoop SequenceFiles (offset, line): ``value``.
 
-    Spark has no DataFrame reader for this format, so each record passes through Python once.
-    Write a corpus that is read again as parquet first.
+    Spark has no DataFrame reader for this format. The JVM copies the records to text files in the shared
+    folder, and these are read; no record passes through Python. A record with a line break counts as
+    several lines.
     """
-    records = spark.sparkContext.sequenceFile(
-        ",".join(_listed(paths)), "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-    return spark.createDataFrame(records, "offset bigint, value string", verifySchema=False)
+    copy = scratch_folder(spark, "sequence-lines")
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    kinds = jvm.org.apache.hadoop.io.LongWritable().getClass(), jvm.org.apache.hadoop.io.Text().getClass()
+    context.sequenceFile(",".join(_listed(paths)), *kinds).values().saveAsTextFile(copy)
+    return spark.read.text(copy)
 
 
 def read_stop_words(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -21,11 +22,6 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_id"))
 
 
-def listed_files(spark: SparkSession, path: str) -> list[str]:
-    """The files of a scan, named as its ``_metadata.file_path`` names them."""
-    return [file.replace("file:///", "file:/", 1) for file in spark.read.text(path).inputFiles()]
-
-
 def files_not_utf8(lines: DataFrame) -> DataFrame:
     """Files with a line that is not valid UTF-8: ``file``. The lines hold the bytes as read."""
     return lines.where(~F.is_valid_utf8("line")).select("file").distinct()
@@ -41,14 +37,12 @@ def read_products(spark: SparkSession, paths: str | Sequence[str], charset_fallb
     """Product lines: ``file, block, line_id, title, reviews, _corrupt_record``.
 
     With ``charset_fallback`` a file that is not valid UTF-8 throughout is read as ISO-8859-1. That takes
-    one more pass over the lines. The names of such files come to the driver: they are part of the
-    file listing, which the driver holds for the scan anyway.
+    one more pass over the lines; the names of such files are joined by their size, never collected.
     """
     lines = read_lines(spark, paths)
     if charset_fallback:
-        latin = [row.file for row in files_not_utf8(lines).toLocalIterator()]
-        if latin:
-            lines = decode_latin(lines, F.col("file").isin(latin))
+        latin = pin(files_not_utf8(lines), "files-not-utf8").withColumn("_latin", F.lit(True))
+        lines = decode_latin(lines.join(broadcast_if_small(latin), "file", "left"), F.col("_latin")).drop("_latin")
     return parse_product_lines(lines)
 
 
@@ -56,10 +50,10 @@ def good_products(products: DataFrame) -> DataFrame:
     return products.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def quarantined_lines(products: DataFrame) -> DataFrame:
+def quarantined_lines(products: DataFrame, *keep: str) -> DataFrame:
     """Lines that are not a JSON object, with their place. Good lines after a bad one are kept apart from them."""
     places = [name for name in ("file", "block", "line_id", "line_no") if name in products.columns]
-    return products.where(F.col(CORRUPT).isNotNull()).select(*places, F.col(CORRUPT).alias("line"))
+    return products.where(F.col(CORRUPT).isNotNull()).select(*keep, *places, F.col(CORRUPT).alias("line"))
 
 
 def parse_product_lines(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -89,11 +83,10 @@ def number_lines(products: DataFrame) -> DataFrame:
             .drop("block", "line_id", "_first", "_before"))
 
 
-def pair_outputs(products: DataFrame, outputs: dict[str, str]) -> DataFrame:
-    """Add ``out``, the output paired with the input path (a file or a folder) a line comes from.
+def read_paired(spark: SparkSession, outputs: dict[str, str], charset_fallback: bool = False) -> DataFrame:
+    """Product lines of all inputs of ``outputs`` (path of a file or folder, to output name), with that name as ``out``.
 
-    The pairs are the file listing that the driver holds for the scan as well.
+    One read per input, so that no file name has to be matched.
     """
-    spark = products.sparkSession
-    pairs = [(file, out) for path, out in outputs.items() for file in listed_files(spark, path)]
-    return products.join(broadcast_if_small(spark.createDataFrame(pairs, "file string, out string")), "file")
+    parts = [read_products(spark, path, charset_fallback).withColumn("out", F.lit(out)) for path, out in outputs.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
+import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder the cluster shares through ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a folder on this machine.
+    Only a session in one process on one machine goes without that setting: its folder lies in the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="wordkin-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -40,3 +41,21 @@ def pin(df: DataFrame, label: str, work_dir: str | None = None) -> DataFrame:
     if not (work_dir and is_complete(spark, path)):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def check_run(spark: SparkSession, work_dir: str, **settings) -> None:
+    """Note what a run in ``work_dir`` was started with; refuse a folder that was started with anything else."""
+    path = f"{work_dir.rstrip('/')}/run"
+    want = json.dumps(settings, sort_keys=True, default=str)
+    if not is_complete(spark, path):
+        spark.createDataFrame([(want,)], "settings string").coalesce(1).write.mode("overwrite").json(path)
+        return
+    have = spark.read.schema("settings string").json(path).first()["settings"]
+    if have != want:
+        raise ValueError(f"{work_dir} holds another run: {have}, not {want}")
+
+
+def digest(df: DataFrame) -> str:
+    """A number for the rows of a table, whatever their order."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{row['n']}/{row['h']}"

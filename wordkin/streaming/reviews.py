@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordkin.operators.reviews import explode_reviews, process_reviews
-from wordkin.sources.products import decode_latin, files_not_utf8, good_products, parse_product_lines
+from wordkin.operators.skew import broadcast_if_small
+from wordkin.sources.products import decode_latin, files_not_utf8, good_products, parse_product_lines, quarantined_lines
 
 PLACE = ["file", "block", "line_id"]
 
@@ -18,7 +19,7 @@ def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
     """Process review files as they arrive; ``out_dir`` gets one ``batch_id`` folder per micro-batch.
 
     A batch replaces its own folder, so a batch that is run again after a failure leaves its
-    results once. ``before_publish(batch_id)`` is called ahead of the write. ``trigger`` is
+    results once; lines that are not JSON go to the same folder of ``<checkpoint>-quarantine``. ``before_publish(batch_id)`` is called ahead of the write. ``trigger`` is
     passed on; without it the query runs until it is stopped.
     """
     arriving = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(in_dir)
@@ -29,12 +30,14 @@ def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
         lines = batch.withColumn("line_id", F.monotonically_increasing_id())
         if charset_fallback:
             # at most files_per_batch rows
-            latin = F.broadcast(files_not_utf8(batch).withColumn("latin", F.lit(True)))
+            latin = broadcast_if_small(files_not_utf8(batch).withColumn("latin", F.lit(True)))
             lines = decode_latin(lines.join(latin, "file", "left"), F.col("latin")).drop("latin")
-        products = good_products(parse_product_lines(lines))
+        parsed = parse_product_lines(lines)
+        products = good_products(parsed)
         done = process_reviews(explode_reviews(products, *PLACE), [*PLACE, "pos"], lexicon, gazetteer)
         if before_publish is not None:
             before_publish(batch_id)
+        quarantined_lines(parsed).write.mode("overwrite").parquet(f"{checkpoint}-quarantine/batch_id={batch_id}")
         done.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     writer = arriving.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)

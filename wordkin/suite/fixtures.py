@@ -16,9 +16,6 @@ MIN_REL = 0.00021
 LEXICON = [("the", 1), ("and", 1), ("in", 1), ("of", -1), ("de", -1), ("la", -1)]
 GAZETTEER = [("The", "PERSON"), ("Of", "LOCATION"), ("And", "ORGANIZATION"), ("De", "DATE")]
 
-# a product row holds at most this many turns of a conversation, so that no row grows without bound
-TURNS_PER_PRODUCT = 100_000
-
 # a well-formed line, and how the first character of w1 picks the damage
 RAW_LINE = """
 case ascii(w1) % 10
@@ -81,27 +78,26 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A product per conversation, its turns as reviews: ``product_id, part, title, reviews``."""
+    """A product per conversation, its turns as reviews: ``product_id, title, reviews``."""
     review = F.struct(
         F.concat("product_id", F.lit("-"), "pos").alias("id"), "link",
         F.concat(F.lit("review "), "pos").alias("title"), "text", "rating", "author",
         F.concat(F.lit("2024-01-"), F.lpad((F.lit(1) + F.col("pos") % 28).cast("string"), 2, "0")).alias("date"))
-    part = F.floor(F.col("pos") / TURNS_PER_PRODUCT).cast("int").alias("part")
-    return (reviews(spark, sf_dir).groupBy("product_id", part)
+    return (reviews(spark, sf_dir).groupBy("product_id")
             .agg(F.array_sort(F.collect_list(F.struct("pos", review.alias("review")))).alias("_r"))
-            .select("product_id", "part", F.concat(F.lit("p"), "product_id").alias("title"),
+            .select("product_id", F.concat(F.lit("p"), "product_id").alias("title"),
                     F.transform("_r", lambda r: r["review"]).alias("reviews")))
 
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products as JSON lines of files with seven products each: ``file_key, product_id, part, line``."""
-    lines = product_json(products(spark, sf_dir), "product_id", "part")
+    """Products as JSON lines of files with seven products each: ``file_key, product_id, line``."""
+    lines = product_json(products(spark, sf_dir), "product_id")
     return lines.withColumn("file_key", F.floor(F.col("product_id") / 7).cast("bigint"))
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With ``fragment_no``, the number of the line within its file."""
-    return number_within(product_lines(spark, sf_dir), ["file_key"], ["product_id", "part"], "fragment_no", "fragments")
+    return number_within(product_lines(spark, sf_dir), ["file_key"], ["product_id"], "fragment_no", "fragments")
 
 
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ PARTS = {
         WHEN 3 THEN w1 || ' ' || w2 || chr(9) || year || chr(9) || '-' || match_count || chr(9) || '1'
         WHEN 4 THEN w1 || ' ' || w2 || ' ' || w1 || chr(9) || year || chr(9) || match_count || chr(9) || '1'
         ELSE w1 || ' ' || w2 || chr(9) || year || chr(9) || match_count || chr(9) || '1' END AS value FROM ngrams""",
-    "tokens": r"""SELECT t[1] AS w1, t[2] AS w2, t[3] AS year_token, t[4] AS count_token, least(len(t), 5)::INTEGER AS n_tokens
+    "tokens": r"""SELECT t[1] AS w1, t[2] AS w2, t[3] AS year_token, t[4] AS count_token, len(t)::INTEGER AS n_tokens
         FROM (SELECT list_filter(string_split_regex(value, '[ \t\n\r\f]+'), lambda x: x <> '') AS t FROM raw_lines)""",
     "valid": """SELECT w1, w2, CAST(year_token AS INTEGER) AS year, CAST(count_token AS BIGINT) AS match_count FROM tokens
         WHERE n_tokens >= 4 AND regexp_full_match(year_token, '[0-9]{4}') AND TRY_CAST(year_token AS INTEGER) > 0
@@ -98,14 +98,14 @@ PARTS = {
         || '">' || link || '</a></p>' || chr(10) || '<p>Named Entities: ' || entities || '</p>' || chr(10)
         || '<p>Sarcasm Detection: ' || CASE WHEN is_sarcastic THEN 'Sarcastic' ELSE 'Not Sarcastic' END || '</p>'
         || chr(10) || '</div>' AS html FROM processed
-        UNION ALL SELECT DISTINCT 'f' || (product_id % 5), 0, NULL::BIGINT, NULL::BIGINT, '{HTML_HEADER}' FROM processed
-        UNION ALL SELECT DISTINCT 'f' || (product_id % 5), 2, NULL::BIGINT, NULL::BIGINT, '{HTML_FOOTER}' FROM processed""",
+        UNION ALL SELECT 'f' || i, 0, NULL::BIGINT, NULL::BIGINT, '{HTML_HEADER}' FROM range(6) AS t(i)
+        UNION ALL SELECT 'f' || i, 2, NULL::BIGINT, NULL::BIGINT, '{HTML_FOOTER}' FROM range(6) AS t(i)""",
 }
 
 _PROCESSED = "SELECT link, color, entities, is_sarcastic FROM processed"
 _MARGINALS = """SELECT 'n' AS kind, decade, NULL AS word, n AS total FROM sizes UNION ALL
     SELECT 'c1', decade, w1, c1 FROM m1 UNION ALL SELECT 'c2', decade, w2, c2 FROM m2"""
-_LINES = """SELECT decade, w1 || chr(9) || w2 || chr(9) || 'NPMI:' || CAST(round(npmi * 1000) AS INTEGER) AS line FROM found"""
+_LINES = """SELECT decade, w1 || chr(9) || w2 || chr(9) || 'NPMI:' || printf('%.6f', round(npmi, 6)) AS line FROM found"""
 
 SELECTS = {
     "extract_collocations": "SELECT decade, w1, w2, round(npmi, 6) AS npmi FROM found",
@@ -149,8 +149,8 @@ SELECTS = {
         OR (sentiment <= 1 AND rating >= 4) AS is_sarcastic FROM classes JOIN reviews USING (product_id, pos)""",
     "named_entities": "SELECT * FROM entities",
     "process_reviews": "SELECT * FROM processed",
-    "processed_json": "SELECT product_id, CAST(0 AS INTEGER) AS part, line FROM json_lines",
-    "reserialize_input": "SELECT product_id, CAST(0 AS INTEGER) AS part, line FROM product_lines",
+    "processed_json": "SELECT product_id, line FROM json_lines",
+    "reserialize_input": "SELECT product_id, line FROM product_lines",
     "render_html_rows": "SELECT * FROM html",
     "write_html": "SELECT report, unnest(string_split(html, chr(10))) AS line FROM html",
     "fragment_lines": "SELECT file_key, product_id, fragment_no FROM numbered",
@@ -165,10 +165,11 @@ SELECTS = {
         ON r.file_key = product_id % 500""",
     "quarantine_bad_lines": """SELECT line_no, NOT json_valid(line) AS is_bad,
         CASE WHEN json_valid(line) THEN 'p' || line_no ELSE line END AS content
-        FROM (SELECT product_id AS line_no, CASE WHEN product_id % 9 = 4 THEN substr(line, 1, 40) ELSE line END AS line
+        FROM (SELECT product_id AS line_no, CASE WHEN product_id % 9 = 4 THEN line[:length(line) - 1] || ',' ELSE line END AS line
               FROM product_lines)""",
     "charset_fallback": "SELECT link, pos, text FROM reviews",
-    "multi_file_outputs": "SELECT 'report' || (product_id % 4) AS out, line FROM json_lines",
+    "multi_file_outputs": """SELECT 'report' || (product_id % 4) AS out,
+        CASE WHEN product_id % 4 = 3 OR product_id % 11 = 7 THEN '{"processedEntries":[]}' ELSE line END AS line FROM json_lines""",
     "stream_process_reviews": _PROCESSED,
     "stream_restart": _PROCESSED,
     "stream_dedup": "SELECT DISTINCT client_key, file_key FROM requests",

@@ -155,15 +155,14 @@ def collocations_ranked(spark, sf):
 
 
 def format_collocation(spark, sf):
-    thousandths = F.round(F.col("npmi") * 1000).cast("int")
     found = find_collocations(_pairs(spark, sf), fx.MIN_NPMI, fx.MIN_REL)
-    return co.format_collocations(found.withColumn("npmi", thousandths))
+    return co.format_collocations(found, digits=6)
 
 
 def write_collocations(spark, sf):
     path = scratch_folder(spark, "collocations")
     found = find_collocations(_pairs(spark, sf), fx.MIN_NPMI, fx.MIN_REL)
-    sink.write_collocations(found.withColumn("npmi", F.round(F.col("npmi") * 1000).cast("int")), path)
+    sink.write_collocations(found, path, digits=6)
     return spark.read.schema("value string, decade int").text(path).select("decade", F.col("value").alias("line"))
 
 
@@ -198,10 +197,8 @@ def scan_seqfile(spark, sf):
 # ---- reviews --------------------------------------------------------------------------------
 
 def _exploded(spark: SparkSession, sf: str) -> DataFrame:
-    """Reviews of the nested products, with the position in the whole product."""
-    rows = rv.explode_reviews(fx.products(spark, sf), "product_id", "part")
-    pos = F.col("part").cast("bigint") * fx.TURNS_PER_PRODUCT + F.col("pos")
-    return rows.withColumn("pos", pos).drop("part")
+    """Reviews of the nested products, with the position in the product."""
+    return rv.explode_reviews(fx.products(spark, sf), "product_id").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def _processed(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,18 +248,23 @@ def processed_json(spark, sf):
 
 
 def reserialize_input(spark, sf):
-    return rv.product_json(fx.products(spark, sf), "product_id", "part")
+    return rv.product_json(fx.products(spark, sf), "product_id")
+
+
+def _reports(spark: SparkSession) -> DataFrame:
+    """Five reports with reviews, and one without any."""
+    return spark.createDataFrame([(f"f{i}",) for i in range(6)], "report string")
 
 
 def render_html_rows(spark, sf):
     files = _processed(spark, sf).withColumn("name", F.concat(F.lit("f"), F.col("product_id") % 5))
-    return reports.html_rows(files, "name", ["product_id", "pos"])
+    return reports.html_rows(files, "name", ["product_id", "pos"], reports=_reports(spark))
 
 
 def write_html(spark, sf):
     path = scratch_folder(spark, "html")
     files = _processed(spark, sf).withColumn("name", F.concat(F.lit("f"), F.col("product_id") % 5))
-    sink.write_html(files, path, "name", ["product_id", "pos"])
+    sink.write_html(files, path, "name", ["product_id", "pos"], reports=_reports(spark))
     return spark.read.schema("value string, report string").text(path).select("report", F.col("value").alias("line"))
 
 
@@ -291,7 +293,7 @@ def route_results(spark, sf):
 
 
 def quarantine_bad_lines(spark, sf):
-    damaged = F.when(F.col("product_id") % 9 == 4, F.substring("line", 1, 40)).otherwise(F.col("line"))
+    damaged = F.when(F.col("product_id") % 9 == 4, F.concat(F.expr("left(line, length(line) - 1)"), F.lit(","))).otherwise(F.col("line"))
     lines = fx.product_lines(spark, sf).select(F.col("product_id").alias("line_no"), damaged.alias("line"))
     parsed = psrc.parse_product_lines(lines)
     good = psrc.good_products(parsed).select("line_no", F.lit(False).alias("is_bad"), F.col("title").alias("content"))
@@ -302,7 +304,7 @@ def quarantine_bad_lines(spark, sf):
 def _review_files(spark: SparkSession, sf: str, label: str) -> str:
     """Product lines as files, a folder per ``file_key``."""
     path = scratch_folder(spark, label)
-    sink.write_json_lines(fx.product_lines(spark, sf), path, "file_key", ["product_id", "part"])
+    sink.write_json_lines(fx.product_lines(spark, sf), path, "file_key", ["product_id"])
     return path
 
 
@@ -312,15 +314,18 @@ def charset_fallback(spark, sf):
     # bytes of the other character set, passed through the text writer as they are
     latin = F.encode("line", "ISO-8859-1").cast("string")
     sink.write_json_lines(lines.withColumn("line", F.when(F.col("latin"), latin).otherwise(F.col("line"))),
-                          path, "file_key", ["product_id", "part"])
+                          path, "file_key", ["product_id"])
     products = psrc.good_products(psrc.read_products(spark, path, charset_fallback=True))
     return rv.explode_reviews(products).select("link", F.col("pos").cast("bigint").alias("pos"), "text")
 
 
 def multi_file_outputs(spark, sf):
-    lines = fx.product_lines(spark, sf).withColumn("file_key", F.col("product_id") % 4)
+    """Four inputs, one of them without any product that has reviews; every eleventh product has none."""
+    rows = fx.products(spark, sf).withColumn("reviews", F.when(
+        (F.col("product_id") % 4 == 3) | (F.col("product_id") % 11 == 7), F.slice("reviews", 1, 0)).otherwise(F.col("reviews")))
+    lines = rv.product_json(rows, "product_id").withColumn("file_key", F.col("product_id") % 4)
     path, out = scratch_folder(spark, "inputs"), scratch_folder(spark, "outputs")
-    sink.write_json_lines(lines, path, "file_key", ["product_id", "part"])
+    sink.write_json_lines(lines, path, "file_key", ["product_id"])
     outputs = {f"{path}/file_key={k}": f"report{k}" for k in range(4)}
     run_reviews(spark, outputs, out, fx.lexicon(spark), fx.gazetteer(spark))
     return spark.read.schema("value string, out string").text(f"{out}/json").select("out", F.col("value").alias("line"))
@@ -357,8 +362,11 @@ def stream_restart(spark, sf):
 def stream_dedup(spark, sf):
     out = scratch_folder(spark, "requests")
     events = fx.table(spark, sf, "events")
-    arriving = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf))
-    query = (work.unique_requests_stream(fx.with_request_columns(arriving)).writeStream.format("parquet")
+    # several files, as the table has at any real size, taken up in several batches
+    path = scratch_folder(spark, "events")
+    events.repartition(4).write.parquet(path)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    query = (work.unique_requests_stream(fx.with_request_columns(arriving).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1000 days").writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", scratch_folder(spark, "offsets"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -366,9 +374,10 @@ def stream_dedup(spark, sf):
 
 
 def stream_assemble(spark, sf):
-    arrived = pin(fx.fragments(spark, sf).select("file_key", "fragment_no", "expected"), "arrived")
-    path, out = arrived.inputFiles()[0].rsplit("/", 1)[0], scratch_folder(spark, "full")
-    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1000).parquet(path)
+    arrived = fx.fragments(spark, sf).select("file_key", "fragment_no", "expected")
+    path, out = scratch_folder(spark, "arrived"), scratch_folder(spark, "full")
+    arrived.repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(path)
     work.stream_full_bitmaps(stream, out, scratch_folder(spark, "offsets"), availableNow=True).awaitTermination()
     return work.complete_files(spark.read.parquet(out)).select("file_key", "fragments")
 
