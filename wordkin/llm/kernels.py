@@ -12,11 +12,18 @@ from pyspark.sql import SparkSession
 _U = np.uint64
 
 #: texts are hashed in pieces of about so many bytes, which bounds the memory of a task
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+
+
+#: rows that go to a Python worker at a time: whole texts may be long
+ARROW_ROWS = 1000
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers on this machine import this package where it isn't installed."""
+    """Bound what goes to Python workers at a time, and let workers on this machine import this package."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= ARROW_ROWS:
+        spark.conf.set(rows, ARROW_ROWS)
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordkin.llm.kernels import row_groups, ship_package, text_bytes
+from wordkin.llm.kernels import PIECE_BYTES, row_groups, ship_package, text_bytes
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.storage import pin
 
@@ -52,7 +52,7 @@ def _text_scores(column: pa.Array, model: LanguageModel) -> tuple[np.ndarray, np
     data, at = text_bytes(column)
     n = len(at) - 1
     scores, letters = np.zeros((n, len(model.languages))), np.zeros(n, np.int64)
-    piece = 1 << 20
+    piece = PIECE_BYTES
     for first, last in row_groups(at):
         for lo in range(int(at[first]), max(int(at[last]), int(at[first]) + 1), piece):
             hi = min(int(at[last]), lo + piece)
