@@ -19,23 +19,44 @@ def unique_requests_stream(requests: DataFrame, arrival: str | None = None, boun
     return (requests.withWatermark(arrival, bound or "1 day").dropDuplicatesWithinWatermark(keys).select(*keys))
 
 
-def fragment_bitmaps(fragments: DataFrame) -> DataFrame:
-    """Which fragments of a file have arrived, as bitmaps of 32768 fragments each.
-
-    ``fragments`` has ``file_key, fragment_no`` (from 1) and ``expected``. A bitmap has a fixed size, takes
-    a redelivered fragment without change and merges before the shuffle, so a file of any size is
-    spread over its bitmaps.
+def closed_bitmaps(fragments: DataFrame) -> DataFrame:
+    """Bitmaps of arrived fragments, each at the moment when its last gap closes: ``file_key, bucket, expected``.
+
+    ``fragments`` is a stream of ``file_key, fragment_no`` (from 1) and ``expected``; rows without a number are left out.
+    A file's fragments are kept as bitmaps of 32768 each, from bucket 1, so a file of any size is spread over
+    its bitmaps. The state of a bitmap has as many bits as the file has fragments in it, takes a redelivered fragment
+    without change, and is removed when it is full. A fragment that is redelivered later opens a bitmap
+    again, which is not reported before all of them were redelivered.
     """
     number = F.col("fragment_no").cast("bigint")
-    return (fragments.groupBy("file_key", F.bitmap_bucket_number(number).alias("bucket"))
-            .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(number))).alias("arrived"),
-                 F.max("expected").cast("bigint").alias("expected")))
-
-
-def full_bitmaps(bitmaps: DataFrame) -> DataFrame:
-    """Bitmaps without a gap: ``file_key, bucket, expected``. Buckets count from 1."""
-    size = F.least(F.lit(BITMAP_BITS), F.col("expected") - (F.col("bucket") - 1) * BITMAP_BITS)
-    return bitmaps.where(F.col("arrived") == size).select("file_key", "bucket", "expected")
+    rows = fragments.where(number.isNotNull()).select(
+        "file_key", F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("bit"),
+        F.col("expected").cast("bigint").alias("expected"))
+
+    def close(key, parts, state):
+        import numpy as np
+        import pandas as pd
+
+        bucket, expected, bits = key[1], 0, np.zeros(0, np.uint8)
+        if state.exists:
+            packed, expected = state.get
+            bits = np.unpackbits(np.frombuffer(packed, np.uint8))
+        for part in parts:
+            expected = max(expected, int(part["expected"].max()))
+            places = part["bit"].to_numpy()
+            bits = np.pad(bits, (0, max(0, int(places.max()) + 1 - len(bits))))
+            bits[places] = 1
+        size = min(BITMAP_BITS, expected - (bucket - 1) * BITMAP_BITS)
+        if bits.sum() == size:
+            if state.exists:
+                state.remove()
+            yield pd.DataFrame({"file_key": [key[0]], "bucket": [bucket], "expected": [expected]})
+        else:
+            state.update((np.packbits(bits).tobytes(), expected))
+
+    kind = fragments.schema["file_key"].dataType.simpleString()
+    return rows.groupBy("file_key", "bucket").applyInPandasWithState(
+        close, f"file_key {kind}, bucket bigint, expected bigint", "bits binary, expected bigint", "update", "NoTimeout")
 
 
 def complete_files(full: DataFrame) -> DataFrame:
@@ -53,14 +74,14 @@ def complete_files(full: DataFrame) -> DataFrame:
 
 
 def stream_full_bitmaps(fragments: DataFrame, out_dir: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Follow a stream of fragments; ``out_dir`` gets the bitmaps that became full, a folder per batch.
+    """Follow a stream of fragments; ``out_dir`` gets the bitmaps that became full, once each, a folder per batch.
 
     ``complete_files`` over ``out_dir`` gives the finished files at any time: one row per 32768
     fragments. A batch replaces its own folder.
     """
     def publish(batch: DataFrame, batch_id: int) -> None:
-        full_bitmaps(batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
-    writer = (fragment_bitmaps(fragments).writeStream.outputMode("update").foreachBatch(publish)
+    writer = (closed_bitmaps(fragments).writeStream.outputMode("update").foreachBatch(publish)
               .option("checkpointLocation", checkpoint))
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -136,6 +136,7 @@ SELECTS = {
         w1, w2, round(npmi, 6) AS npmi FROM found""",
     "format_collocation": _LINES.replace("decade,", "decade || '''s' AS decade,", 1),
     "write_collocations": _LINES,
+    "resume_collocations": "SELECT decade, w1, w2, round(npmi, 6) AS npmi, n FROM found JOIN sizes USING (decade)",
     "stage_counts": f"""SELECT 'lines' AS stage, count(*) AS rows FROM raw_lines
         UNION ALL SELECT 'valid', count(*) FROM valid UNION ALL SELECT 'kept', count(*) FROM kept
         UNION ALL SELECT 'pairs', count(*) FROM d UNION ALL SELECT 'marginals', count(*) FROM ({_MARGINALS})

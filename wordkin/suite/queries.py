@@ -58,7 +58,10 @@ def ngram_validity(spark, sf):
 
 
 def stopword_filter(spark, sf):
-    return _kept(spark, sf)
+    """With the stop words as a list that was written, one per line."""
+    path = scratch_folder(spark, "stop-list")
+    fx.stop_words(spark, sf).write.text(path)
+    return ng.drop_stop_words(fx.ngrams(spark, sf), src.read_stop_words(spark, path))
 
 
 def decade_bucket(spark, sf):
@@ -166,15 +169,30 @@ def write_collocations(spark, sf):
     return spark.read.schema("value string, decade int").text(path).select("decade", F.col("value").alias("line"))
 
 
+def resume_collocations(spark, sf):
+    """The first run leaves its tables and figures; the second, with other thresholds, takes them up."""
+    work_dir, stop = scratch_folder(spark, "run"), fx.stop_words(spark, sf)
+    options = {"ordered": False, "work_dir": work_dir, "source": sf}
+    extract_collocations(fx.ngrams(spark, sf), stop, 1.0, 1.0, **options)
+    found = extract_collocations(fx.ngrams(spark, sf), stop, fx.MIN_NPMI, fx.MIN_REL, **options)
+    sizes = spark.read.schema("decade int, n bigint").parquet(f"{work_dir}/sizes")
+    return _rounded(co.join_decades(found, sizes))
+
+
 def stage_counts(spark, sf):
-    lines = pin(fx.raw_lines(fx.ngrams(spark, sf)), "lines")
-    valid = ng.parse_ngrams(lines)
-    kept = ng.drop_stop_words(valid, fx.stop_words(spark, sf))
-    pairs = pin(ng.roll_up_decades(kept), "pairs")
+    """Rows of each step; those up to the pairs are counted while the pairs are written."""
+    seen = {}
+
+    def counted(df, stage):
+        df, seen[stage] = metrics.observe_rows(df, stage)
+        return df
+
+    valid = counted(ng.parse_ngrams(counted(fx.raw_lines(fx.ngrams(spark, sf)), "lines")), "valid")
+    kept = counted(ng.drop_stop_words(valid, fx.stop_words(spark, sf)), "kept")
+    pairs = pin(counted(ng.roll_up_decades(kept), "pairs"), "pairs")
+    observed = spark.createDataFrame([(stage, count.get["rows"]) for stage, count in seen.items()], "stage string, rows bigint")
     found = find_collocations(pairs, fx.MIN_NPMI, fx.MIN_REL)
-    return metrics.count_stages({
-        "lines": lines, "valid": valid, "kept": kept, "pairs": pairs,
-        "marginals": co.marginals_in_one_pass(pairs), "found": found})
+    return observed.unionByName(metrics.count_stages({"marginals": co.marginals_in_one_pass(pairs), "found": found}))
 
 
 def scan_text(spark, sf):
@@ -269,7 +287,13 @@ def write_html(spark, sf):
 
 
 def fragment_lines(spark, sf):
-    return fx.numbered_lines(spark, sf).select("file_key", "product_id", "fragment_no")
+    """Lines of written files, a file per key, numbered by their places in them."""
+    path = scratch_folder(spark, "files")
+    lines = fx.product_lines(spark, sf).repartition("file_key").sortWithinPartitions("file_key", "product_id")
+    lines.select("file_key", "line").write.partitionBy("file_key").text(path)
+    numbered = psrc.number_lines(psrc.good_products(psrc.read_products(spark, path)))
+    return numbered.select(F.regexp_extract("file", r"file_key=(\d+)", 1).cast("bigint").alias("file_key"),
+                           F.substring("title", 2, 20).cast("bigint").alias("product_id"), "fragment_no")
 
 
 def assemble_file(spark, sf):
@@ -388,7 +412,7 @@ QUERIES: dict[str, Query] = {
         scan_seqfile, scan_text, ngram_parse, ngram_validity, stopword_filter, decade_bucket, decade_window,
         decade_rollup, decade_partition_read, corpus_size, left_marginal, right_marginal, marginals_grouping_sets,
         join_w1, join_w2, pmi, npmi, npmi_sum, filter_abs, filter_rel, filter_perfect, collocations_ranked,
-        format_collocation, write_collocations, stage_counts,
+        format_collocation, write_collocations, resume_collocations, stage_counts,
         explode_reviews, longest_sentence, sentiment_class, color_map, sarcasm, named_entities, process_reviews,
         processed_json, reserialize_input, render_html_rows, write_html, fragment_lines, assemble_file,
         parse_request_key, dedup_requests, route_results, quarantine_bad_lines, charset_fallback, multi_file_outputs,
