@@ -26,10 +26,10 @@ def test_collocations_job(spark, tmp_path, capsys):
     scores = [float(line.rsplit("NPMI:", 1)[1]) for line in lines]
     assert scores == sorted(scores, reverse=True)
     printed = capsys.readouterr().out
-    assert "lines 6, valid 5" in printed and "found 4" in printed
+    assert "lines 6, valid 5, kept 4, pairs 4, scored 4" in printed and "found 4" in printed
 
 
-def test_reviews_job(spark, tmp_path):
+def test_reviews_job(spark, tmp_path, capsys):
     (tmp_path / "in.json").write_text(json.dumps(
         {"title": "t", "reviews": [{"id": "1", "link": "a&b", "text": "Good Ann.", "rating": 1}]}) + "\n")
     (tmp_path / "lexicon").write_text("good\t1\n")
@@ -39,6 +39,7 @@ def test_reviews_job(spark, tmp_path):
           "--gazetteer", str(tmp_path / "names"), "--output", out])
     assert json.loads(read_folder(f"{out}/json/out=report")) == {"processedEntries": [
         {"link": "a&b", "color": "LIGHT_GREEN", "namedEntities": ["Ann"], "isSarcastic": True}]}
+    assert "products 1, quarantined 0" in capsys.readouterr().out
     html = read_folder(f"{out}/html/report=report")
     assert 'href="a&amp;b"' in html and "Named Entities: [Ann]" in html and "Detection: Sarcastic" in html
 

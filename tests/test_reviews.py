@@ -166,6 +166,12 @@ def test_only_complete_files_are_assembled(spark):
         ("a", 1, "a1"), ("a", 2, "a2"), ("c", 1, "c1")]
 
 
+def test_the_last_delivery_counts(spark):
+    rows = [("a", 1, 2, "new", 5), ("a", 1, 2, "old", 3), ("a", 2, 2, "x", 4), ("a", 2, 2, "y", 4), ("b", 1, 2, "b", 1)]
+    df = spark.createDataFrame(rows, "file_key string, fragment_no int, expected int, line string, seq int")
+    assert sorted(map(tuple, rv.assemble_files(df, "seq").collect())) == [("a", 1, "new"), ("a", 2, "y")]
+
+
 def test_hot_file_gives_the_same(spark):
     rows = [("big", i, 400, f"x{i}") for i in range(1, 401)] + [(f"s{i}", 1, 1 + i % 2, "y") for i in range(30)]
     df = fragments(spark, *rows)

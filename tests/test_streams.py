@@ -98,4 +98,8 @@ def test_completeness_out_of_order_and_redelivered(spark, tmp_path):
         work.stream_full_bitmaps(stream, out, offsets, availableNow=True).awaitTermination()
         files = work.complete_files(spark.read.schema("file_key string, bucket long, expected long, batch_id long").parquet(out))
         assert {(r.file_key, r.fragments) for r in files.collect()} == complete
+    # a bitmap is reported once, and is no state from then on; the last fragment of "a" came again
+    assert spark.read.parquet(out).count() == 5
+    held = spark.read.format("statestore").load(offsets).select("key.*", "value.*")
+    assert [r.file_key for r in held.collect()] == ["a"]
     assert {r.file_key: r.completed_in for r in files.collect()} == {"a": 2, "c": 2, "big": 2, "b": 3}

@@ -48,16 +48,21 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"wordkin-{options.job}")
     if options.job == "collocations":
         read = read_sequence_lines if options.format == "sequence" else read_text_lines
-        lines, line_count = observe_rows(read(spark, options.input), "lines")
-        valid, valid_count = observe_rows(parse_ngrams(lines), "valid")
+        seen = {}
+
+        def observe(table, step):
+            table, seen[step] = observe_rows(table, step)
+            return table
+
+        valid = observe(parse_ngrams(observe(read(spark, options.input), "lines")), "valid")
         found = extract_collocations(
             valid, read_stop_words(spark, options.stop_words), options.min_npmi, options.min_rel,
             options.start, options.end, sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False,
-            source=" ".join(options.input))
+            source=" ".join(options.input), observe=observe)
         write_collocations(found, options.output)
         if options.work_dir is None:
             # a run that takes up finished tables does not read the corpus again
-            print(f"lines {line_count.get['rows']}, valid {valid_count.get['rows']}")
+            print(", ".join(f"{step} {rows.get['rows']}" for step, rows in seen.items()))
         print(f"found {spark.read.text(options.output).count()}")
     else:
         half = len(options.paths) // 2
@@ -68,6 +73,8 @@ def main(argv: list[str] | None = None) -> None:
                     table.schema("word string, polarity int").csv(options.lexicon),
                     table.schema("word string, type string").csv(options.gazetteer),
                     options.charset_fallback, not options.no_escape)
+        print(f"products {spark.read.text(f'{options.output}/json').count()}, "
+              f"quarantined {spark.read.parquet(f'{options.output}/quarantine').count()}")
 
 
 if __name__ == "__main__":

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from wordkin.functions import reviews as rules
 from wordkin.functions import text as tx
 from wordkin.operators.skew import BROADCAST_BYTES, fits_broadcast, hot_limit, join_totals
+from wordkin.storage import pin
+
 
 def explode_reviews(products: DataFrame, *keep: str) -> DataFrame:
     """One row per review with its position in the product, from 0; columns ``keep`` go along."""
@@ -122,20 +124,23 @@ def product_json(products: DataFrame, *keep: str) -> DataFrame:
     return products.select(*keep, F.to_json(F.struct("title", "reviews"), {"ignoreNullFields": "false"}).alias("line"))
 
 
-def assemble_files(fragments: DataFrame, **skew) -> DataFrame:
+def assemble_files(fragments: DataFrame, arrival: str | None = None, **skew) -> DataFrame:
     """Rows of the files whose fragments have all arrived: ``file_key, fragment_no, line``.
 
-    ``fragments`` has ``file_key, fragment_no, expected, line``; a redelivered fragment counts once.
+    ``fragments`` has ``file_key, fragment_no, expected, line``. Of a fragment that was delivered several times the line with
+    the highest ``arrival`` counts, of equal ones or without that column the greatest line.
     Order by file and fragment number, or range-partition by them, to write the assembled files.
     """
-    # counting reads the keys alone, without the lines
-    keys = fragments.select("file_key", "fragment_no", "expected").dropDuplicates(["file_key", "fragment_no"])
-    files = keys.groupBy("file_key").agg(F.count("*").alias("n"), F.max("expected").alias("_expected"))
+    place = ["file_key", "fragment_no"]
+    last = F.max(F.struct(*([arrival] if arrival else []), "line")).alias("_last")
+    once = fragments.groupBy(*place).agg(last, F.max("expected").alias("expected"))
+    # written once: counting reads the keys alone, without the lines
+    once = pin(once.select(*place, "expected", F.col("_last.line").alias("line")), "arrived-fragments")
+    files = once.groupBy("file_key").agg(F.count("*").alias("n"), F.max("expected").alias("_expected"))
     complete = files.where(F.col("n") == F.col("_expected"))
-    arrived = fragments.select("file_key", "fragment_no", "line").dropDuplicates(["file_key", "fragment_no"])
-    return (join_totals(arrived, complete, ["file_key"], ["fragment_no"], "n", "_expected",
-                        hot_limit(fragments, **skew))
-            .select("file_key", "fragment_no", "line"))
+    return (join_totals(once.select(*place, "line"), complete, ["file_key"], ["fragment_no"], "n", "_expected",
+                        hot_limit(once, **skew))
+            .select(*place, "line"))
 
 
 def unique_requests(requests: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,23 +13,27 @@ from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, drop_stop_words, rol
 from wordkin.sinks.tables import write_decade_figures
 from wordkin.storage import check_run, digest, is_complete, pin
 
+Observe = Callable[[DataFrame, str], DataFrame] | None
+
 
 def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mode: str = "truncated",
-                      fp_perfect: bool = False, work_dir: str | None = None, **skew) -> DataFrame:
+                      fp_perfect: bool = False, work_dir: str | None = None, observe: Observe = None, **skew) -> DataFrame:
     """From decade pair counts to ``decade, w1, w2, npmi``, unsorted.
 
     The pairs are read by the marginals, the sizes and the join, the scored pairs by the decade
     totals and the thresholds: both are written once, below the shared folder. With a ``work_dir``
     they are written there, next to the figures per decade, and a run that is started again takes up
-    the finished ones. A folder that was begun with another sum mode is refused.
+    the finished ones. A folder that was begun with another sum mode is refused. ``observe(table, step)`` gets the tables
+    of the steps before they run, and returns them, for instance with a count of their rows.
     """
     spark = pairs.sparkSession
     if work_dir:
         check_run(spark, f"{work_dir}/scores", sum_mode=sum_mode)
-    pairs = pin(pairs, "pairs", work_dir)
+    watched = observe or (lambda table, step: table)
+    pairs = pin(watched(pairs, "pairs"), "pairs", work_dir)
     scored = co.score_pairs(pairs, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
-    scored = pin(scored, "scored", work_dir)
+    scored = pin(watched(scored, "scored"), "scored", work_dir)
     totals = co.score_totals(scored, sum_mode)
     if work_dir:
         if not is_complete(spark, f"{work_dir}/sizes"):
@@ -41,7 +47,7 @@ def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mod
 
 def extract_collocations(ngrams: DataFrame, stop_words: DataFrame, min_npmi: float, min_rel: float,
                          start: int = FIRST_YEAR, end: int = LAST_YEAR, ordered: bool = True,
-                         source: str = "", **options) -> DataFrame:
+                         source: str = "", observe: Observe = None, **options) -> DataFrame:
     """2-gram records to collocations, per decade, strongest first: ``decade, w1, w2, npmi``.
 
     ``ordered=False`` leaves the sorting to a writer that sorts itself. ``options`` are those of
@@ -50,6 +56,7 @@ def extract_collocations(ngrams: DataFrame, stop_words: DataFrame, min_npmi: flo
     """
     if options.get("work_dir"):
         check_run(ngrams.sparkSession, options["work_dir"], start=start, end=end, stop_words=digest(stop_words), source=source)
-    pairs = roll_up_decades(drop_stop_words(ngrams, stop_words), start, end)
-    found = find_collocations(pairs, min_npmi, min_rel, **options)
+    kept = drop_stop_words(ngrams, stop_words)
+    pairs = roll_up_decades(observe(kept, "kept") if observe else kept, start, end)
+    found = find_collocations(pairs, min_npmi, min_rel, observe=observe, **options)
     return co.sort_collocations(found) if ordered else found

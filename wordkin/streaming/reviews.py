@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wordkin.operators.reviews import explode_reviews, process_reviews
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.sources.products import decode_latin, files_not_utf8, good_products, parse_product_lines, quarantined_lines
+from wordkin.storage import pin
 
 PLACE = ["file", "block", "line_id"]
 
@@ -20,8 +21,9 @@ def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
 
     A batch replaces its own folder, so a batch that is run again after a failure leaves its
     results once; lines that are not JSON go to the same folder of ``<checkpoint>-quarantine``. ``before_publish(batch_id)`` is called ahead of the write. ``trigger`` is
-    passed on; without it the query runs until it is stopped.
+    passed on; without it the query runs until it is stopped. The word lists are written once, as every batch reads them.
     """
+    lexicon, gazetteer = pin(lexicon, "lexicon"), pin(gazetteer, "gazetteer")
     arriving = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(in_dir)
                 .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
                         F.col("_metadata.file_block_start").alias("block")))

@@ -155,7 +155,8 @@ SELECTS = {
     "render_html_rows": "SELECT * FROM html",
     "write_html": "SELECT report, unnest(string_split(html, chr(10))) AS line FROM html",
     "fragment_lines": "SELECT file_key, product_id, fragment_no FROM numbered",
-    "assemble_file": "SELECT file_key, fragment_no, line FROM arrived JOIN complete USING (file_key)",
+    "assemble_file": """SELECT file_key, fragment_no, line || CASE WHEN fragment_no % 4 = 2 THEN ' ' ELSE '' END AS line
+        FROM arrived JOIN complete USING (file_key)""",
     "parse_request_key": """SELECT seq, split_part(body, ' ', 1) AS kind, split_part(body, ' ', 2) AS client_key,
         split_part(body, ' ', 3) AS file_key, split_part(task, ' ', 1) AS task_kind,
         split_part(split_part(task, ' ', 2), '-', 1) AS task_file,
