@@ -223,20 +223,65 @@ def _compare(length: int):
     return run
 
 
-def _count_windows(length: int):
-    """The different windows of each suffix, with the numbers of runs that have them."""
+#: neighbouring windows of a hot suffix that have a core, the bytes they all contain
+BLOCK = 8
+
+
+def _windows_by_core(texts: np.ndarray, at: np.ndarray, suffix: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Of each window of runs given as their bytes and suffix: run, hash, core's place, core's hash.
+
+    Blocks of windows are counted from the anchor, the first place of the suffix in a run, so that equal windows have equal cores.
+    """
+    hasher, block = SpanHasher(texts), min(BLOCK, length)
+    seeds = hasher.windows(seed)
+    place = np.arange(len(seeds))
+    run = np.searchsorted(at, place, "right") - 1
+    found = np.flatnonzero((seeds == suffix[run]) & (place + seed <= at[run + 1]))
+    anchor = found[np.unique(run[found], return_index=True)[1]]
+    hashes = hasher.windows(length)
+    window = np.arange(len(hashes))
+    run = np.searchsorted(at, window, "right") - 1
+    whole = window + length <= at[run + 1]
+    run, window = run[whole], window[whole]
+    core = anchor[run] - (anchor[run] - window) // block * block
+    return run, hashes[whole], core, hasher.spans(core, core + length - block + 1)
+
+
+def _tally(suffix: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
+    """``suffix, h, n``: the different hashes of each suffix, and how often they are there."""
+    order = np.lexsort((hashes, suffix))
+    suffix, hashes = suffix[order], hashes[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (suffix[1:] != suffix[:-1]) | (hashes[1:] != hashes[:-1])
+    begin = np.flatnonzero(new)
+    counts = np.diff(np.concatenate([begin, [len(hashes)]]))
+    return pa.RecordBatch.from_arrays([pa.array(suffix[begin]), pa.array(hashes[begin].view(np.int64)), pa.array(counts)], ["suffix", "h", "n"])
+
+
+def _count_cores(length: int, seed: int):
+    """The different cores of each suffix, with the numbers of blocks that have them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = text_bytes(batch.column("bytes"))
-            run, hashes = _window_hashes(data, at, length)
-            suffix, slot = np.unique(batch.column("suffix").to_numpy(), return_inverse=True)
-            order = np.lexsort((hashes, slot[run]))
-            slots, hashes = slot[run][order], hashes[order]
-            new = np.ones(len(hashes), bool)
-            new[1:] = (slots[1:] != slots[:-1]) | (hashes[1:] != hashes[:-1])
-            begin = np.flatnonzero(new)
-            counts = np.diff(np.concatenate([begin, [len(hashes)]]))
-            yield pa.RecordBatch.from_arrays([pa.array(suffix[slots[begin]]), pa.array(hashes[begin].view(np.int64)), pa.array(counts)], ["suffix", "h", "n"])
+            suffix = batch.column("suffix").to_numpy()
+            run, _, core, hashes = _windows_by_core(*text_bytes(batch.column("bytes")), suffix.view(_U), length, seed)
+            new = np.ones(len(run), bool)
+            new[1:] = (run[1:] != run[:-1]) | (core[1:] != core[:-1])
+            yield _tally(suffix[run[new]], hashes[new])
+
+    return run
+
+
+def _count_windows(length: int, seed: int):
+    """The different windows of each suffix whose core is in the list beside it, with the numbers of runs that have them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            suffix, lists = batch.column("suffix").to_numpy(), batch.column("again")
+            run, hashes, _, cores = _windows_by_core(*text_bytes(batch.column("bytes")), suffix.view(_U), length, seed)
+            kept = np.zeros(len(run), bool)
+            edges = np.searchsorted(run, np.arange(batch.num_rows + 1)).tolist()
+            for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                kept[lo:hi] = np.isin(cores[lo:hi], lists[i].values.to_numpy().view(_U))
+            yield _tally(suffix[run[kept]], hashes[kept])
 
     return run
 
@@ -245,10 +290,10 @@ def _mark_windows(length: int):
     """Stretches of a run's windows that are in the list beside it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], []]
-            for row, first, text, again in zip(*(batch.column(c).to_pylist() for c in ("row", "first", "bytes", "again")), strict=True):
+            out, lists = [[], [], []], batch.column("again")
+            for i, (row, first, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("row", "first", "bytes")), strict=True)):
                 hashes = SpanHasher(np.frombuffer(text, np.uint8)).windows(length).view(np.int64)
-                hit = np.concatenate([[False], np.isin(hashes, np.asarray(again)), [False]])
+                hit = np.concatenate([[False], np.isin(hashes, lists[i].values.to_numpy()), [False]])
                 edges = np.flatnonzero(hit[1:] != hit[:-1])
                 for begin, end in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
                     for column, value in zip(out, (row, first + begin, end - begin), strict=True):
@@ -258,23 +303,30 @@ def _mark_windows(length: int):
     return run
 
 
-#: repeated windows in one row of a hot suffix's list, about
+#: repeated hashes in one row of a hot suffix's list, about
 LISTED = 4096
 
 
-def compare_windows(edges: DataFrame, length: int, variants: int = VARIANTS) -> DataFrame:
+def _repeated_lists(counts: DataFrame, label: str) -> DataFrame:
+    """``suffix, again``: of ``counts`` (``suffix, h, n``) the hashes that are there twice, in rows of bounded size."""
+    again = pin(counts.groupBy("suffix", "h").agg(F.sum("n").alias("n")).where("n > 1").select("suffix", "h"), label)
+    parts = again.groupBy("suffix").agg(F.ceil(F.count("*") / LISTED).alias("parts"))
+    lists = again.join(parts, "suffix").groupBy("suffix", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(F.collect_list("h").alias("again"))
+    return pin(lists.select("suffix", "again"), f"{label}-lists")
+
+
+def compare_windows(edges: DataFrame, length: int, seed: int, variants: int = VARIANTS) -> DataFrame:
     """``row, first, size``: stretches of windows of ``edges`` (``row, first, suffix, m, bytes``) that another one has too."""
-    schema = "row bigint, first int, size int"
+    schema, counted = "row bigint, first int, size int", "suffix bigint, h bigint, n bigint"
     few = edges.where(F.col("m") <= variants).select("row", "first", "suffix", "bytes")
     found = few.repartition("suffix").sortWithinPartitions("suffix").mapInArrow(_compare(length), schema)
     # a suffix with very many different runs: its windows are counted wherever they are, and the list of the
-    # repeated ones, in rows of bounded size, goes to its runs
+    # repeated ones goes to its runs. A window is repeated only if its core is, so cores, a row per block of windows, come
+    # first, and only windows with a repeated core are counted
     many = edges.where(F.col("m") > variants).select("row", "first", "suffix", "bytes")
-    counts = many.mapInArrow(_count_windows(length), "suffix bigint, h bigint, n bigint").groupBy("suffix", "h").agg(F.sum("n").alias("n"))
-    again = pin(counts.where("n > 1").select("suffix", "h"), "hot-windows")
-    parts = again.groupBy("suffix").agg(F.ceil(F.count("*") / LISTED).alias("parts"))
-    lists = again.join(parts, "suffix").groupBy("suffix", F.pmod(F.xxhash64("h"), "parts").alias("part")).agg(F.collect_list("h").alias("again"))
-    marked = many.join(pin(lists.select("suffix", "again"), "hot-lists"), "suffix").select("row", "first", "bytes", "again").mapInArrow(_mark_windows(length), schema)
+    cores = _repeated_lists(many.mapInArrow(_count_cores(length, seed), counted), "hot-cores")
+    windows = many.join(cores, "suffix").select("suffix", "bytes", "again").mapInArrow(_count_windows(length, seed), counted)
+    marked = many.join(_repeated_lists(windows, "hot-windows"), "suffix").select("row", "first", "bytes", "again").mapInArrow(_mark_windows(length), schema)
     return found.unionByName(marked)
 
 
@@ -314,7 +366,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED, batc
     edges = pin(edges.groupBy("row").agg(F.collect_list(F.struct("first", "size", "suffix", "m")).alias("edges")).withColumnRenamed("row", "_row"), "edges")
     texts = docs.select(text_key("doc_id", "text").alias("row"), "text").join(broadcast_if_small(edges), F.col("row") == F.col("_row"))
     sliced = texts.select("row", "text", "edges").mapInArrow(_slice_edges(length), "row bigint, first int, suffix bigint, m bigint, bytes binary")
-    ends = compare_windows(pin(sliced, "edge-bytes"), length, variants)
+    ends = compare_windows(pin(sliced, "edge-bytes"), length, seed, variants)
     every = whole.select("row", "first", "size").unionByName(ends)
     return every.groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("runs")).mapInArrow(
         _merge_spans(length), "row bigint, spans array<struct<begin:bigint,end:bigint>>")
