@@ -292,8 +292,52 @@ def test_near_copies(spark, odd, none):
     assert near.near_components(none, 2).count() == 0
 
 
+def test_links_beside_the_centres(spark):
+    # texts near one hub but below the bound, in pairs: the links lie between texts that are no early centres
+    hub = [f"h{i}" for i in range(200)]
+    texts = [(0, " ".join(hub))]
+    for pair in range(30):
+        words = list(hub)
+        for k in range(13):
+            words[(pair * 3 + k * 15) % 200] = f"p{pair}x{k}"
+        texts += [(2 * pair + 1, " ".join(words)), (2 * pair + 2, " ".join([*words[:-1], f"q{pair}"]))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    want = components_by_hand(texts, 2)
+    assert len({root for _, root, _ in want.values()}) == 31
+    assert by_id(near.near_components(docs, 2)) == want
+
+
 # ---- pipeline -------------------------------------------------------------------------------
 
+def test_pipeline_by_hand(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    extra = docs.limit(3).withColumn("doc_id", F.col("doc_id") + 10_000_000)
+    docs.unionByName(extra).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    accepted = {r.doc_id for r in language.keep_identified(docs).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect() if r.doc_id in accepted}
+    keep = {}
+    for d in sorted(texts):
+        keep[texts[d]] = d
+    left = sorted((d, t) for t, d in keep.items())
+    near_by = components_by_hand(left, 5)
+    left = {d: t for d, t in left if near_by[d][2]}
+    sources = {r.doc_id: r.source for r in docs.collect()}
+    sizes = {d: len(WORD.findall(t)) for d, t in left.items()}
+    schema = "doc_id bigint, text string, lang string, source string"
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(spark.createDataFrame([(d, t, None, sources[d]) for d, t in left.items()], schema)).collect()}
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    got = Counter((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect() if sizes[r.doc_id])
+    want = Counter({(d, tuple(tokenizer.encode(t, add_special_tokens=False).ids)): taken[d] // sizes[d] for d, t in left.items() if sizes[d] and taken[d]})
+    assert got == want
+
+
 def test_pipeline(spark, odd, tmp_path):
     import corpus_pipeline
 
