@@ -307,6 +307,22 @@ def test_links_beside_the_centres(spark):
     assert by_id(near.near_components(docs, 2)) == want
 
 
+def test_links_behind_two_popular_texts(spark):
+    # a long common passage and words of their own: 120 texts below the bound among each other, and a few shorter ones that reach it
+    passage = [f"c{i}" for i in range(100)]
+    texts = [(d, " ".join([*passage, *(f"o{d}x{k}" for k in range(14 if d < 120 else 12))])) for d in range(124)]
+    want = components_by_hand(texts, 1)
+    assert [d for d, (_, root, _) in want.items() if root != d] == [121, 122, 123]
+    assert by_id(near.near_components(spark.createDataFrame(texts, "doc_id bigint, text string"), 1)) == want
+
+
+def test_a_bucket_is_finished_in_any_number_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(near, "SLICE_COMPARISONS", 50)
+    passage = [f"c{i}" for i in range(100)]
+    texts = [(d, " ".join([*passage, *(f"o{d}x{k}" for k in range(14 if d < 20 else 12))])) for d in range(24)]
+    assert by_id(near.near_components(spark.createDataFrame(texts, "doc_id bigint, text string"), 1)) == components_by_hand(texts, 1)
+
+
 # ---- pipeline -------------------------------------------------------------------------------
 
 def test_pipeline_by_hand(spark, tmp_path):

@@ -2,8 +2,9 @@
 
 One pass hashes each shingle once into a bin; the smallest hash of each bin is the sketch, and empty bins borrow
 from a bin that universal hashing picks, until it is a full one. Texts with a band of bins in common share a
-bucket. A bucket gives as many candidate pairs as it has members: all of them with its centre, the member that
-shares most buckets with others. Candidates are confirmed on the full shingle sets.
+bucket. A round takes as many candidate pairs from a bucket as it has members: all of them with its centre, the member that
+shares most buckets with others. Candidates are confirmed on the full shingle sets. Buckets whose members
+are still apart after a few rounds are finished exactly, all members against all, without a row per pair.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ BINS = BANDS * BAND_BINS
 TRIES = 64
 #: pairs of one centre that a task verifies at most before the centre's rows are split
 SLICE_PAIRS = 512
+#: rounds of stars at most before what is left of a bucket is compared member by member
+STAR_ROUNDS = 3
+#: comparisons and resident shingles of a task that finishes a bucket, before the bucket is split
+SLICE_COMPARISONS, SLICE_SHINGLES = 1 << 20, 1 << 20
 
 _U = np.uint64
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -180,6 +185,98 @@ def confirm_links(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     return rows.select("a", "b", "shingles").mapInArrow(_verify(percent), "a bigint, b bigint")
 
 
+class _Residents:
+    """Shingle sets in one sorted list, so that another set is compared with all of them at once."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.roots: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.sizes = None
+        self.above: dict[int, int] = {}
+
+    def _sort(self) -> None:
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+        every = np.concatenate(self.sets)
+        order = np.argsort(every, kind="stable")
+        self.every, self.owners = every[order], np.repeat(np.arange(len(self.sets), dtype=np.int32), self.sizes)[order]
+        self.sets = []
+
+    def _top(self, root: int) -> int:
+        while (up := self.above.get(root, root)) != root:
+            self.above[root] = root = self.above.get(up, up)
+        return root
+
+    def links(self, root: int, shingles: np.ndarray, percent: int) -> list[int]:
+        """Residents similar to a set, one for each component that it joins with its own ``root``."""
+        if not self.ids:
+            return []
+        if self.sizes is None:
+            self._sort()
+        low, high = np.searchsorted(self.every, shingles), np.searchsorted(self.every, shingles, "right")
+        n = high - low
+        at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+        both = np.bincount(self.owners[at], minlength=len(self.sizes))
+        joined = []
+        for k in np.flatnonzero(100 * both >= percent * (len(shingles) + self.sizes - both)):
+            one, two = self._top(root), self._top(self.roots[k])
+            if one != two:
+                self.above[one] = two
+                joined.append(self.ids[k])
+        return joined
+
+
+def _compare(percent: int):
+    """Rows sorted by bucket and slice, residents first: links that join components, one for each join."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, _Residents()
+        for batch in batches:
+            left, right = [], []
+            keys = zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True)
+            for (bucket, part, guest, id_, root), blob in zip(keys, batch.column(5), strict=True):
+                shingles = np.frombuffer(blob.as_buffer(), _U)
+                if (bucket, part) != group:
+                    group, held = (bucket, part), _Residents()
+                if guest:
+                    found = held.links(root, shingles, percent)
+                    left += [id_] * len(found)
+                    right += found
+                else:
+                    held.ids.append(id_)
+                    held.roots.append(root)
+                    held.sets.append(shingles.copy())
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _open_buckets(grouped: DataFrame) -> DataFrame:
+    """``bucket, top, n, n_out, volume`` of buckets (``bucket, id, n_shingles, root``) in several components.
+
+    ``top`` is the component with most members, ``n_out`` the number of members outside it.
+    """
+    parts = grouped.groupBy("bucket", "root").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("v"))
+    found = parts.groupBy("bucket").agg(F.max_by("root", F.struct("m", -F.col("root"))).alias("top"), F.sum("m").alias("n"),
+                                        (F.sum("m") - F.max("m")).alias("n_out"), F.sum("v").alias("volume"))
+    return found.where("n_out > 0")
+
+
+def finish_buckets(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` that join all components that similar members of a bucket lie in.
+
+    ``grouped`` (``bucket, id, n_shingles, root, top, n, n_out, volume``) has the members of open buckets. Members outside the component
+    ``top`` are compared with all members of the bucket, slice by slice; a pair within one component is left out.
+    """
+    slices = F.greatest(F.lit(1.0), F.ceil(F.col("n") * F.col("n_out") / SLICE_COMPARISONS), F.ceil(F.col("volume") / SLICE_SHINGLES)).cast("int")
+    sliced = grouped.withColumn("slices", slices)
+    residents = sliced.select("bucket", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("guest"), "id", "root")
+    guests = sliced.where("root <> top").select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("guest"), "id", "root")
+    rows = residents.unionByName(guests).join(sets, "id").select("bucket", "slice", "guest", "id", "root", "shingles")
+    rows = rows.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "guest")
+    return rows.mapInArrow(_compare(percent), "a bigint, b bigint").distinct()
+
+
 def smallest_reachable(links: DataFrame) -> DataFrame:
     """``id, root`` of every id in ``links`` (``a, b``): the smallest id of its component.
 
@@ -203,8 +300,9 @@ def near_links(texts: DataFrame, size: int, percent: int = PERCENT) -> tuple[Dat
     """Classes and links of ``texts`` (``doc_id`` bigint, unique, and ``text``).
 
     Returns ``doc_id, n_shingles, rep``, where ``rep`` is the smallest ``doc_id`` with the same shingle set, and the confirmed
-    links ``a, b`` between such representatives. After the first stars, buckets whose members are still in
-    several components get further stars, each centred in another component, until a round links nothing more.
+    links ``a, b`` between such representatives, which join all that similar members of a bucket lie in. After the first
+    stars, buckets whose other members are still in several components get further stars, each around a new centre, until
+    a round links nothing more or ``STAR_ROUNDS`` are done; the members left are then compared with each other.
     """
     ship_package(texts.sparkSession)
     rows = texts.select("doc_id", "text")
@@ -214,40 +312,41 @@ def near_links(texts: DataFrame, size: int, percent: int = PERCENT) -> tuple[Dat
     classes = sketches.select("doc_id", "n_shingles", "one", "two").join(same, ["n_shingles", "one", "two"], "left").select(
         "doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     classes = pin(classes, "set-classes")
-    reps = sketches.select("doc_id", "bands").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    members = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    reps = sketches.select("doc_id", "n_shingles", "bands").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    members = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.explode("bands").alias("bucket"))
     crowded = pin(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = pin(members.join(broadcast_if_small(crowded), "bucket"), "bucket-members")
     popular = pin(members.groupBy("id").agg(F.sum(F.col("n") - 1).alias("popularity")), "popularity")
-    members = pin(members.join(broadcast_if_small(popular), "id").select("bucket", "id", "popularity"), "bucket-members")
+    members = pin(members.join(broadcast_if_small(popular), "id").select("bucket", "id", "n_shingles", "popularity"), "bucket-members")
     # only texts that share a bucket are read again for their full sets
     ids = broadcast_if_small(popular.select("id"))
     sets = pin(rows.join(ids, rows["doc_id"] == ids["id"], "left_semi").mapInArrow(_sets(size), "id bigint, shingles binary"), "shingle-sets")
 
-    links, tried, roots, grouped = None, None, None, members.withColumn("root", F.col("id"))
-    while True:
-        rank = F.struct("popularity", -F.col("id"))
+    links, tried, grouped = None, None, members.withColumn("root", F.col("id")).withColumn("top", F.lit(None).cast("bigint"))
+    for turn in range(STAR_ROUNDS):
+        # from the second round on, the most popular member outside the largest component
+        rank = F.struct(F.when(F.col("root") == F.col("top"), F.lit(-1)).otherwise(F.col("popularity")), -F.col("id"))
         centres = grouped.groupBy("bucket").agg(F.max_by(F.struct("id", "root"), rank).alias("c")).select(
             "bucket", F.col("c.id").alias("_centre"), F.col("c.root").alias("_centre_root"))
-        pairs = grouped.join(broadcast_if_small(pin(centres, "centres")), "bucket").where(F.col("root") != F.col("_centre_root")).select(
-            F.col("_centre").alias("a"), F.col("id").alias("b")).distinct()
+        starred = grouped.join(broadcast_if_small(pin(centres, "centres")), "bucket")
+        pairs = starred.where(F.col("root") != F.col("_centre_root")).select(F.col("_centre").alias("a"), F.col("id").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = pin(pairs, "candidates")
         found = pin(confirm_links(pairs, sets, percent), "links")
         more = not found.isEmpty()
         links = found if links is None else links.unionByName(found)
-        if roots is not None and not more:
-            return classes, links
         tried = pairs if tried is None else tried.unionByName(pairs)
         roots = smallest_reachable(links)
-        grouped = members.join(broadcast_if_small(roots), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        # buckets that are not in one component; the next centre is the most popular member outside the largest
-        open_ones = grouped.groupBy("bucket").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.max_by("root", rank).alias("_top")).where("_lo <> _hi")
-        grouped = pin(grouped.join(broadcast_if_small(pin(open_ones.select("bucket", "_top"), "open-buckets")), "bucket"), "open-members")
-        grouped = grouped.withColumn("popularity", F.when(F.col("root") == F.col("_top"), F.lit(-1)).otherwise(F.col("popularity"))).drop("_top")
+        # a centre has met all of its bucket and leaves it; a bucket is open while those left are in several components
+        rest = starred.where(F.col("id") != F.col("_centre")).select("bucket", "id", "n_shingles", "popularity")
+        rest = pin(rest.join(broadcast_if_small(roots), "id", "left").withColumn("root", F.coalesce("root", "id")), "bucket-rest")
+        grouped = pin(rest.join(broadcast_if_small(pin(_open_buckets(rest), "open-buckets")), "bucket"), "open-members")
         if grouped.isEmpty():
             return classes, links
+        if turn and not more:
+            break
+    return classes, links.unionByName(pin(finish_buckets(grouped, sets, percent), "links"))
 
 
 def near_components(docs: DataFrame, size: int, percent: int = PERCENT) -> DataFrame:
