@@ -182,6 +182,15 @@ def test_evidence_beyond_the_text(spark):
     assert got[60][0] == "de" and got[61][0] == "fr"
 
 
+def test_counts_come_to_the_driver_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(d, f"words of text number {d}", "ab"[d % 2]) for d in range(200)], "doc_id bigint, text string, lang string")
+    arrived, plain = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: arrived.append(plain(self)) or arrived[-1])
+    one, many = (language.fit_language(docs.repartition(n, "doc_id")) for n in (1, 16))
+    assert one.languages == many.languages == ["a", "b", language.UNKNOWN] and (one.logs == many.logs).all()
+    assert arrived[0].num_rows == arrived[1].num_rows and arrived[1].nbytes < 1 << 18
+
+
 # ---- toxicity -------------------------------------------------------------------------------
 
 def test_toxicity(spark, odd, none):

@@ -79,7 +79,8 @@ def _text_scores(column: pa.Array, model: LanguageModel) -> tuple[np.ndarray, np
 def fit_language(docs: DataFrame, label: str = "lang", train_rows: int = TRAIN_ROWS) -> LanguageModel:
     """Trigram counts by ``label``, from up to ``train_rows`` rows of ``docs`` (``doc_id, text``) that have one.
 
-    Only the counts, a fixed number per language, come to the driver.
+    Only the counts, summed up by language and trigram, come to the driver: ``1 << GRAM_BITS`` rows per language at most,
+    however many tasks read the sample.
     """
     ship_package(docs.sparkSession)
     chosen = (docs.where(F.col(label).isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col(label).alias("label"))
@@ -95,13 +96,17 @@ def fit_language(docs: DataFrame, label: str = "lang", train_rows: int = TRAIN_R
                 if at[i + 1] - at[i] >= 3:
                     counts[name] = counts.get(name, 0) + np.bincount(_grams(data[at[i]:at[i + 1]]), minlength=1 << GRAM_BITS)
         for name, found in counts.items():
-            yield pa.RecordBatch.from_pydict({"label": [name], "counts": [found.astype(np.int64)]})
-
-    found = sample.mapInArrow(run, "label string, counts array<bigint>").toArrow().to_pydict()
-    counts: dict[str, np.ndarray] = {}
-    for name, c in zip(found["label"], found["counts"], strict=True):
-        counts[name] = counts.get(name, 0) + np.asarray(c, dtype=float)
-    names = sorted(counts)
+            grams = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams.astype(np.int32)),
+                                              pa.array(found[grams].astype(np.int64))], ["label", "gram", "n"])
+
+    found = sample.mapInArrow(run, "label string, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n")).toArrow()
+    labels = found["label"].to_pylist()
+    names = sorted(set(labels))
+    place = {name: k for k, name in enumerate(names)}
+    table = np.zeros((len(names), 1 << GRAM_BITS))
+    table[np.array([place[x] for x in labels], np.int64), found["gram"].to_numpy()] = found["n"].to_numpy()
+    counts = dict(zip(names, table, strict=True))
     rows = [np.log((counts[n] + 0.05) / (counts[n] + 0.05).sum()) for n in names]
     rows.append(np.full(1 << GRAM_BITS, -GRAM_BITS * np.log(2)))
     return LanguageModel([*names, UNKNOWN], np.stack(rows))
