@@ -86,4 +86,41 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLES = {"op2_exact_dedup": EXACT, "op3_mix_sources": MIX, "op5_url_filter": URLS, "op8_line_dedup": LINES, "op9_exact_top_k": TOP_K}
+AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(words) < 100 THEN 'A' ELSE '' END ||
+         CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END ||
+         CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END ||
+         CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END ||
+         CASE WHEN texts.doc_id > min(texts.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM texts LEFT JOIN marks ON texts.doc_id = marks.doc_id),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+steps AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, step::INTEGER AS step
+  FROM letters a, letters b, letters c, letters d, letters e, range(1, 6) r(step)
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+seen AS (
+  SELECT part, filter_order, step, n, n_good, n_toxic, substr(filter_order, step, 1) AS filter, fails,
+         contains(fails, substr(filter_order, step, 1)) AS fails_here,
+         length(translate(fails, substr(filter_order, 1, step - 1), '')) < length(fails) AS gone
+  FROM cells, steps),
+counted AS (
+  SELECT part, filter_order, step, filter, sum(n * (NOT gone AND NOT fails_here)::INT)::BIGINT AS kept,
+         sum(n * (NOT gone AND fails_here)::INT)::BIGINT AS removed, sum(n * (gone AND fails_here)::INT)::BIGINT AS redundant,
+         sum(n * (fails = filter)::INT)::BIGINT AS unique_fails, sum(n_good * (NOT gone AND fails_here)::INT)::BIGINT AS good_lost,
+         sum(n_toxic * (NOT gone AND fails_here)::INT)::BIGINT AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, filter)
+SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted
+"""
+
+ORACLES = {"op2_exact_dedup": EXACT, "op3_mix_sources": MIX, "op5_url_filter": URLS, "op8_line_dedup": LINES, "op9_exact_top_k": TOP_K,
+           "op12_filter_audit": AUDIT}
