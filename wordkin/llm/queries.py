@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordkin.llm import audit, bpe, exact, language, lines, mixing, near, suffixes, topk, toxicity, urls
+from wordkin.llm import audit, bpe, exact, language, lines, mixing, near, spelling, suffixes, topk, toxicity, urls
 
 # fixed values: the rules that pages are judged by
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -59,6 +59,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_components(_table(spark, sf_dir, "documents"), size=2)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -70,4 +74,4 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_mix_sources, op4_bpe, op5_url_filter, op6_language_id, op7_toxicity,
-    op8_line_dedup, op9_exact_top_k, op10_minhash_near_dedup, op12_filter_audit, page_languages)}
+    op8_line_dedup, op9_exact_top_k, op10_minhash_near_dedup, op11_spelling_variants, op12_filter_audit, page_languages)}
