@@ -111,23 +111,27 @@ def row_groups(at: np.ndarray, piece: int = PIECE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def _spans_of_words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every run without ASCII white space; ``begins``: where rows begin, which ends a run."""
-    solid = ~_SPACE[data]
-    n = len(data)
+def runs(solid: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run of marked bytes; ``begins``: where rows begin, which ends a run."""
+    n = len(solid)
     fresh = np.zeros(n + 1, dtype=bool)
     fresh[begins] = True
     before = np.empty(n, dtype=bool)
-    before[0] = False
+    before[:1] = False
     before[1:] = solid[:-1]
     starts = np.flatnonzero(solid & (~before | fresh[:n]))
     after = np.empty(n, dtype=bool)
-    after[-1] = False
+    after[-1:] = False
     after[:-1] = solid[1:]
     ends = np.flatnonzero(solid & (~after | fresh[1:])) + 1
     return starts, ends
 
 
+def _spans_of_words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run without ASCII white space."""
+    return runs(~_SPACE[data], begins)
+
+
 def _stripped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, strip: str) -> tuple[np.ndarray, np.ndarray]:
     """The spans without the ASCII characters ``strip`` at their ends; spans of nothing else stay as they are."""
     other = np.ones(256, dtype=bool)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordkin.llm import audit, bpe, exact, language, lines, mixing, near, spelling, suffixes, topk, toxicity, urls
+from wordkin.llm import audit, bpe, credentials, exact, language, lines, mixing, near, spelling, suffixes, topk, toxicity, urls
 
 # fixed values: the rules that pages are judged by
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -67,6 +67,14 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan_secrets(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("found", lambda x, kind=kind: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+              for kind in (*credentials.BASE_KINDS, credentials.FORMAT)]
+    base = credentials.spans_text(F.filter("found", lambda x: x["kind"] != credentials.FORMAT))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), credentials.spans_text(F.col("found")).alias("spans"))
+
+
 def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 6 over web pages, which have all kinds of evidence; the trigrams come from the documents."""
     return language.identify_pages(_table(spark, sf_dir, "pages"), language.fit_language(_table(spark, sf_dir, "documents")))
@@ -74,4 +82,4 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_array_dedup, op2_exact_dedup, op3_mix_sources, op4_bpe, op5_url_filter, op6_language_id, op7_toxicity,
-    op8_line_dedup, op9_exact_top_k, op10_minhash_near_dedup, op11_spelling_variants, op12_filter_audit, page_languages)}
+    op8_line_dedup, op9_exact_top_k, op10_minhash_near_dedup, op11_spelling_variants, op12_filter_audit, op13_secret_scan, page_languages)}
