@@ -133,9 +133,14 @@ def test_secrets_of_odd_rows(spark):
     assert credentials.scan_secrets(docs.limit(0)).count() == 0
 
 
-def test_query(spark):
-    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    for r in QUERIES["op13_secret_scan"](spark, SF).collect():
+def test_query(spark, tmp_path):
+    planted = spark.createDataFrame([(10 ** 9, "é token = 'abcdefgh' AKIA" + "Z" * 16 + " " + "0f" * 20, "en", "s", 9)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(planted.select("doc_id", "text"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = QUERIES["op13_secret_scan"](spark, str(tmp_path)).collect()
+    assert len(got) == len(texts) and [(r.n_assign, r.n_access, r.n_hex) for r in got if r.doc_id == 10 ** 9] == [(1, 1, 1)]
+    for r in got:
         base = base_by_hand(texts[r.doc_id])
         kept = ",".join(x for x in r.spans.split(",") if not x.startswith("format"))
         assert kept == base and r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()

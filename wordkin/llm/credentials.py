@@ -184,6 +184,10 @@ def _places(data: np.ndarray, begins: np.ndarray, starts: np.ndarray, ends: np.n
     return out
 
 
+def count_of(found: Column, kind: str) -> Column:
+    return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("bigint")
+
+
 def spans_text(found: Column) -> Column:
     """``kind:start:end`` of all finds, joined by commas."""
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")

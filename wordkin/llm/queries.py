@@ -69,8 +69,7 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.scan_secrets(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("found", lambda x, kind=kind: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-              for kind in (*credentials.BASE_KINDS, credentials.FORMAT)]
+    counts = [credentials.count_of(F.col("found"), kind).alias(f"n_{kind}") for kind in (*credentials.BASE_KINDS, credentials.FORMAT)]
     base = credentials.spans_text(F.filter("found", lambda x: x["kind"] != credentials.FORMAT))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), credentials.spans_text(F.col("found")).alias("spans"))
 
