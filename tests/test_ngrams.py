@@ -1,3 +1,5 @@
+import os
+
 from wordkin.operators import ngrams as ng
 from wordkin.sources import ngrams as src
 
@@ -77,3 +79,15 @@ def test_stop_list_is_taken_as_it_stands(spark, tmp_path):
     path = tmp_path / "stop"
     path.write_text("the\n of\nThe\n")
     assert rows(src.read_stop_words(spark, str(path))) == [(" of",), ("The",), ("the",)]
+
+
+def test_a_record_is_a_row_whatever_it_holds(spark, tmp_path):
+    records = [(i, text) for i, text in enumerate(["one", "two\nlines\r\n", "", "é 日本", "x" * 300_000, "short after long", "\t \n"] * 40)]
+    path = str(tmp_path / "records")
+    spark.sparkContext.parallelize(records, 3).map(lambda r: ((1 << 33) + r[0], r[1])).saveAsNewAPIHadoopFile(
+        path, "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
+    before = set(os.listdir(tmp_path))
+    rows = src.read_sequence_lines(spark, path)
+    assert sorted(r.value for r in rows.collect()) == sorted(text for _, text in records)
+    assert set(os.listdir(tmp_path)) == before and "MapIn" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -217,18 +217,56 @@ def test_charset_per_file(spark, tmp_path):
     assert {(r.title, r.reviews[0].text) for r in got.collect()} == {("u", "é"), ("k", "plain"), ("l", "é\xa0ü")}
 
 
-def test_lines_are_numbered_across_splits(spark, tmp_path):
-    for name, n in (("big", 3000), ("small", 3)):
-        (tmp_path / f"{name}.json").write_text("".join(product(str(i), "x" * (i % 50)) + "\n" for i in range(n)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("split_bytes", ["2000", "134217728"])
+def test_kept_lines_are_numbered_across_splits(spark, tmp_path, split_bytes):
+    """Bad and blank lines, in any split, leave no gap and no repeat."""
+    for name, n in (("big", 3000), ("small", 30), ("bad", 0)):
+        lines = []
+        for i in range(n):
+            lines += [product(str(i), "x" * (i % 50))] + ["{broken"] * (i % 7 == 3) + ["", " \t"] * (i % 11 == 5)
+        (tmp_path / f"{name}.json").write_text("".join(line + "\n" for line in ["{first", "", *lines, "", "{last"]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
     try:
-        products = src.good_products(src.read_products(spark, str(tmp_path)))
-        assert products.select("block").distinct().count() > 5
-        numbered = src.number_lines(products).select("file", "title", "fragment_no").collect()
+        for fallback in (False, True):
+            products = src.good_products(src.read_products(spark, str(tmp_path), charset_fallback=fallback))
+            assert (products.select("block").distinct().count() > 5) == (split_bytes == "2000")
+            numbered = src.number_lines(products).select("file", "title", "fragment_no").collect()
+            assert len(numbered) == 3030 and all(r.fragment_no == int(r.title) + 1 for r in numbered)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert len(numbered) == 3003
-    assert all(r.fragment_no == int(r.title) + 1 for r in numbered)
+
+
+def test_numbers_run_through_a_folder(spark, tmp_path, small_splits):
+    rows = spark.range(500).selectExpr("id % 3 AS file_key", "id div 3 + 1 AS fragment_no", "concat('line ', repeat('x', id % 90), id) AS line")
+    sink.write_assembled(rows, str(tmp_path / "files"))
+    back = src.read_assembled(spark, str(tmp_path / "files"))
+    assert sorted(map(tuple, back.select(*rows.columns).collect())) == sorted((str(r.file_key), r.fragment_no, r.line) for r in rows.collect())
+
+
+def test_many_inputs_in_one_scan(spark, tmp_path):
+    outputs = {}
+    for i in range(40):
+        folder = tmp_path / "in" / f"set {i % 4}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{i}.json").write_bytes((product(f"é{i}", "x") + "\n").encode("latin-1" if i % 5 == 0 else "utf-8"))
+        if i % 4:
+            outputs[str(folder / f"{i}.json")] = f"out{i}"
+    # a folder above, written in another way, and a longer path below it; a pattern
+    outputs |= {f"{tmp_path}/in/../in/": "rest", f"{tmp_path}/in/set 0/[1-3]?.json": "pattern"}
+    rows = src.read_paired(spark, outputs, charset_fallback=True)
+    got = {r.title: r.out for r in rows.collect()}
+    assert got == {f"é{i}": (f"out{i}" if i % 4 else "pattern" if 10 <= i < 40 else "rest") for i in range(40)}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] text") == 1 and "Union" not in plan
+    with pytest.raises(FileNotFoundError):
+        src.read_paired(spark, {str(tmp_path / "nothing"): "x"})
 
 
 def test_files_to_reports(spark, tmp_path, lexicon, gazetteer):

@@ -46,6 +46,12 @@ def write_json_lines(lines: DataFrame, path: str, folder: str, order: Sequence[s
     write_ordered_text(lines, path, folder, [F.col(name) for name in order], line)
 
 
+def write_assembled(rows: DataFrame, path: str) -> None:
+    """Assembled files (``file_key, fragment_no, line``): a folder per file, its lines in the order of their numbers along
+    the file names. ``sources.products.read_assembled`` reads them back."""
+    write_ordered_text(rows, path, "file_key", [F.col("fragment_no")], "line")
+
+
 def write_html(processed: DataFrame, path: str, report: str, order: Sequence[str], escape: bool = True,
                reports: DataFrame | None = None) -> None:
     """A report per value of the ``report`` column: header, one block per review in input order, footer.

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordkin.storage import scratch_folder
-
 
 def _listed(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -20,17 +18,17 @@ def read_text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
 
 def read_sequence_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of Hadoop SequenceFiles (offset, line): ``value``.
+    """Records of Hadoop SequenceFiles (offset, text): ``value``, one row per record whatever it holds.
 
-    Spark has no DataFrame reader for this format. The JVM copies the records to text files in the shared
-    folder, and these are read; no record passes through Python. A record with a line break counts as
-    several lines.
+    The files are split at their sync markers and read by the JVM. A text record is a bean whose bytes and length become columns, so
+    that no record passes through Python and none is copied to another file.
     """
-    copy = scratch_folder(spark, "sequence-lines")
-    jvm, context = spark._jvm, spark.sparkContext._jsc
-    kinds = jvm.org.apache.hadoop.io.LongWritable().getClass(), jvm.org.apache.hadoop.io.Text().getClass()
-    context.sequenceFile(",".join(_listed(paths)), *kinds).values().saveAsTextFile(copy)
-    return spark.read.text(copy)
+    writable = spark._jvm.org.apache.hadoop.io
+    kinds = writable.LongWritable().getClass(), writable.Text().getClass()
+    records = spark.sparkContext._jsc.sequenceFile(",".join(_listed(paths)), *kinds).values()
+    beans = DataFrame(spark._jsparkSession.createDataFrame(records, kinds[1]), spark)
+    # the buffer of a record is longer than the record
+    return beans.select(F.substring("bytes", F.lit(1), F.col("length")).cast("string").alias("value"))
 
 
 def read_stop_words(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,9 +204,11 @@ def scan_text(spark, sf):
 
 
 def scan_seqfile(spark, sf):
+    """Every seventh record holds a line break and a second line, which does not make it two."""
     path = scratch_folder(spark, "sequence")
+    second = F.when(F.crc32(F.col("value").cast("binary")) % 7 == 0, "\nnext line\t1999\t1\t1").otherwise("")
     # keys beyond 32 bits, which the writer then stores as long
-    lines = fx.raw_lines(fx.ngrams(spark, sf)).select(F.monotonically_increasing_id() + (1 << 33), "value")
+    lines = fx.raw_lines(fx.ngrams(spark, sf)).select(F.monotonically_increasing_id() + (1 << 33), F.concat("value", second))
     lines.rdd.map(tuple).saveAsNewAPIHadoopFile(
         path, "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
         "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
@@ -286,21 +289,40 @@ def write_html(spark, sf):
     return spark.read.schema("value string, report string").text(path).select("report", F.col("value").alias("line"))
 
 
+@contextmanager
+def _splits_of(spark: SparkSession, size: int):
+    """Files are read in splits of ``size`` bytes, so that small ones have several."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fragment_lines(spark, sf):
-    """Lines of written files, a file per key, numbered by their places in them."""
+    """Lines of written files, a file per key, numbered by their places among the good ones. Bad and blank lines stand between them
+    and at the ends; a file has several splits."""
     path = scratch_folder(spark, "files")
     lines = fx.product_lines(spark, sf).repartition("file_key").sortWithinPartitions("file_key", "product_id")
-    lines.select("file_key", "line").write.partitionBy("file_key").text(path)
-    numbered = psrc.number_lines(psrc.good_products(psrc.read_products(spark, path)))
+    beside = F.array(F.lit(""), F.lit("{"), F.concat(F.lit('{"title":'), "product_id"))
+    several = F.concat(F.slice(beside, F.lit(1), (F.col("product_id") % 3 + 1).cast("int")), F.array("line"),
+                       F.slice(beside, F.lit(1), (F.col("product_id") % 2).cast("int")))
+    lines.select("file_key", F.explode(several).alias("line")).write.partitionBy("file_key").text(path)
+    with _splits_of(spark, 4096):
+        numbered = psrc.number_lines(psrc.good_products(psrc.read_products(spark, path)))
     return numbered.select(F.regexp_extract("file", r"file_key=(\d+)", 1).cast("bigint").alias("file_key"),
                            F.substring("title", 2, 20).cast("bigint").alias("product_id"), "fragment_no")
 
 
 def assemble_file(spark, sf):
-    """Every fourth fragment comes twice; its later line counts."""
+    """Every fourth fragment comes twice; its later line counts. The files are written and read back, numbered by their lines."""
     again = F.when(F.col("fragment_no") % 4 == 2, 1).otherwise(0)
     delivered = fx.fragments(spark, sf).withColumn("seq", F.explode(F.sequence(F.lit(0), again)))
-    return rv.assemble_files(delivered.withColumn("line", F.concat("line", F.expr("repeat(' ', seq)"))), "seq")
+    path = scratch_folder(spark, "assembled")
+    sink.write_assembled(rv.assemble_files(delivered.withColumn("line", F.concat("line", F.expr("repeat(' ', seq)"))), "seq"), path)
+    return psrc.read_assembled(spark, path).select(F.col("file_key").cast("bigint").alias("file_key"), "fragment_no", "line")
 
 
 def parse_request_key(spark, sf):
