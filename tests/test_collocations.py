@@ -1,5 +1,6 @@
 import math
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from wordkin.operators import collocations as co
 from wordkin.operators.skew import hot_limit, number_within
 from wordkin.plans.collocations import extract_collocations, find_collocations
 from wordkin.sinks import tables as sink
-from wordkin.storage import pin
+from wordkin.storage import fingerprint, pin
 
 PAIRS = "decade int, w1 string, w2 string, c bigint"
 
@@ -152,11 +153,49 @@ def test_all_in_one_order_and_resume(spark, tmp_path):
     # the finished tables are taken up again, and other runs are refused
     again = extract_collocations(grams, stop, -1.0, 1.0, work_dir=work)
     assert [tuple(r) for r in again.collect()] == first
-    for other in ({"start": 1950}, {"sum_mode": "exact"}, {"source": "elsewhere"}):
+    for other in ({"start": 1950}, {"sum_mode": "exact"}, {"inputs": "elsewhere"}):
         with pytest.raises(ValueError):
             extract_collocations(grams, stop, -1.0, 1.0, work_dir=work, **other)
+    for others in ((grams, stop.limit(0)), (grams.where("w1 <> 'e'"), stop), (grams.withColumn("match_count", grams.match_count + 1), stop)):
+        with pytest.raises(ValueError):
+            extract_collocations(*others, -1.0, 1.0, work_dir=work)
+
+
+def test_a_run_belongs_to_its_files(spark, tmp_path):
+    grams, work = str(tmp_path / "grams"), str(tmp_path / "work")
+    rows = spark.createDataFrame([(1900, "a", "b", 5), (1900, "a", "c", 1), (1900, "d", "c", 4), (1900, "d", "b", 1)], PAIRS)
+    rows.write.parquet(grams)
+    read = lambda: spark.read.schema(rows.schema).parquet(grams)
+    first = sorted(map(tuple, find_collocations(read(), -1.0, 1.0, work_dir=work).collect()))
+    # the sizes are read by the job, not computed again
+    spark.createDataFrame([(1900, 44)], "decade int, n long").coalesce(1).write.mode("overwrite").parquet(f"{work}/sizes")
+    for name in ("scored", "totals"):
+        os.rename(f"{work}/{name}", f"{work}/old-{name}")
+    assert sorted(map(tuple, find_collocations(read(), -1.0, 1.0, work_dir=work).collect())) != first
+    with pytest.raises(ValueError):
+        find_collocations(read().where("c > 1"), -1.0, 1.0, work_dir=work)
+    before = fingerprint(read())
+    assert before == fingerprint(read())
+    rows.limit(1).write.mode("append").parquet(grams)
+    assert fingerprint(read()) != before
     with pytest.raises(ValueError):
-        extract_collocations(grams, stop.limit(0), -1.0, 1.0, work_dir=work)
+        find_collocations(read(), -1.0, 1.0, work_dir=work)
+
+
+def test_sums_of_scores_do_not_hang_on_their_order(spark):
+    rng = random.Random(3)
+    rows = [(1900 + 10 * (i % 2), f"w{i}", f"x{i % 40}", rng.uniform(-1, 1)) for i in range(4000)]
+    scored = spark.createDataFrame(rows, "decade int, w1 string, w2 string, npmi double")
+    sums = {mode: {tuple(sorted((r.decade, r.s.hex()) for r in co.score_totals(scored.repartition(n), mode).collect())) for n in (1, 7, 200)}
+            for mode in ("exact", "truncated")}
+    assert all(len(found) == 1 for found in sums.values())
+    exact = {d: sum(round(s * 10 ** 9) for x, *_, s in rows if x == d) / 10 ** 9 for d in (1900, 1910)}
+    assert dict((d, float.fromhex(s)) for d, s in sums["exact"].pop()) == exact
+    words = {}
+    for d, _, w2, s in rows:
+        words[d, w2] = words.get((d, w2), 0) + round(s * 10 ** 9)
+    cut = {d: sum(int(abs(u) // 10 ** 6) * (1 if u > 0 else -1) for (x, _), u in words.items() if x == d) / 1000 for d in (1900, 1910)}
+    assert dict((d, float.fromhex(s)) for d, s in sums["truncated"].pop()) == cut
 
 
 def test_rank_without_one_task_per_decade(spark):

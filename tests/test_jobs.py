@@ -26,7 +26,16 @@ def test_collocations_job(spark, tmp_path, capsys):
     scores = [float(line.rsplit("NPMI:", 1)[1]) for line in lines]
     assert scores == sorted(scores, reverse=True)
     printed = capsys.readouterr().out
-    assert "lines 6, valid 5, kept 4, pairs 4, scored 4" in printed and "found 4" in printed
+    # one N, two left and two right words
+    counts = "lines 6, valid 5, kept 4, pairs 4, marginals 5, scored 4"
+    assert counts in printed and "found 4" in printed
+    again = ["collocations", "-1.0", "1.0", "--input", str(tmp_path / "in"), "--stop-words", str(tmp_path / "stop"), "--work-dir", str(tmp_path / "work")]
+    for name in ("two", "three"):
+        main([*again, "--output", str(tmp_path / name)])
+        assert counts in capsys.readouterr().out and read_folder(f"{tmp_path / name}/decade=1900").splitlines() == lines
+    (tmp_path / "in").write_text("a b\t1900\t5\t1\n")
+    with pytest.raises(ValueError):
+        main([*again, "--output", str(tmp_path / "four")])
 
 
 def test_reviews_job(spark, tmp_path, capsys):

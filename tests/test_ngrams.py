@@ -91,3 +91,31 @@ def test_a_record_is_a_row_whatever_it_holds(spark, tmp_path):
     rows = src.read_sequence_lines(spark, path)
     assert sorted(r.value for r in rows.collect()) == sorted(text for _, text in records)
     assert set(os.listdir(tmp_path)) == before and "MapIn" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_long_stop_list_is_filtered_first(spark, tmp_path):
+    path = str(tmp_path / "grams")
+    spark.range(30_000).selectExpr("concat('l', id % 5000) AS w1", "if(id % 97 = 0, null, concat('r', id % 3000)) AS w2", "1900 AS year", "id AS match_count").write.parquet(path)
+    grams = spark.read.schema("w1 string, w2 string, year int, match_count long").parquet(path)
+    stop = spark.range(4000).selectExpr("concat(if(id % 4 = 0, 'l', if(id % 4 = 1, 'r', 'other')), id) AS word").unionAll(spark.sql("SELECT 'l0' UNION ALL SELECT cast(null AS string)"))
+    want = rows(ng.drop_stop_words(grams, stop).where("w2 is not null"))
+    small = ng.drop_stop_words(grams, stop, max_bytes=10)
+    assert rows(small.where("w2 is not null")) == want and small.where("w2 is null").count() == ng.drop_stop_words(grams, stop).where("w2 is null").count()
+    assert rows(ng.drop_stop_words(grams, stop, max_bytes=10, filter_bytes=10).where("w2 is not null")) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ng.drop_stop_words(grams, stop, max_bytes=10)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # records that cannot be listed go from the scan to the result
+    kept, rest = plan[plan.index("Union"):plan.index("SortMergeJoin")], plan[plan.index("SortMergeJoin"):]
+    assert "hashpartitioning(w" not in kept and "FileScan" in kept and "hashpartitioning(w" in rest
+    # few records but those that go are shuffled
+    blocks = -(-4001 * ng.FILTER_BITS // ng.BLOCK_BITS)
+    held = ng.word_filter(stop, blocks)
+    marked = ng._with_filter(grams, "w1", held, blocks)
+    listed = {f"l{i}" for i in range(0, 4000, 4)}
+    flags = {(r.w1 in listed, r._maybe_w1) for r in marked.select("w1", "_maybe_w1").distinct().collect()}
+    assert (True, False) not in flags
+    wrong = marked.where("_maybe_w1").select("w1").distinct().collect()
+    assert len([r for r in wrong if r.w1 not in listed]) < 0.1 * 4000

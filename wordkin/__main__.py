@@ -6,11 +6,12 @@ import argparse
 
 from wordkin.metrics import observe_rows
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, parse_ngrams
-from wordkin.plans.collocations import extract_collocations
+from wordkin.plans.collocations import extract_collocations, step_counts
 from wordkin.plans.reviews import run_reviews
 from wordkin.session import build_session
 from wordkin.sinks.tables import write_collocations
 from wordkin.sources.ngrams import read_sequence_lines, read_stop_words, read_text_lines
+from wordkin.storage import files_fingerprint, is_complete, scratch_folder
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -48,21 +49,28 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"wordkin-{options.job}")
     if options.job == "collocations":
         read = read_sequence_lines if options.format == "sequence" else read_text_lines
+        work_dir = options.work_dir or scratch_folder(spark, "collocations")
         seen = {}
 
         def observe(table, step):
-            table, seen[step] = observe_rows(table, step)
+            if step in ("lines", "valid", "kept"):
+                table, seen[step] = observe_rows(table, step)
             return table
 
+        begun = is_complete(spark, f"{work_dir}/pairs")
         valid = observe(parse_ngrams(observe(read(spark, options.input), "lines")), "valid")
         found = extract_collocations(
             valid, read_stop_words(spark, options.stop_words), options.min_npmi, options.min_rel,
-            options.start, options.end, sum_mode=options.sum_mode, work_dir=options.work_dir, ordered=False,
-            source=" ".join(options.input), observe=observe)
+            options.start, options.end, sum_mode=options.sum_mode, work_dir=work_dir, ordered=False,
+            inputs=files_fingerprint(spark, options.input), observe=observe)
         write_collocations(found, options.output)
-        if options.work_dir is None:
+        if not begun:
             # a run that takes up finished tables does not read the corpus again
-            print(", ".join(f"{step} {rows.get['rows']}" for step, rows in seen.items()))
+            first = spark.createDataFrame([(step, rows.get["rows"]) for step, rows in seen.items()], "step string, rows bigint")
+            first.coalesce(1).write.mode("overwrite").json(f"{work_dir}/read")
+        counts = {row.step: row.rows for row in spark.read.schema("step string, rows bigint").json(f"{work_dir}/read").collect()}
+        counts |= step_counts(spark, work_dir)
+        print(", ".join(f"{step} {rows}" for step, rows in counts.items()))
         print(f"found {spark.read.text(options.output).count()}")
     else:
         half = len(options.paths) // 2

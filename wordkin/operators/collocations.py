@@ -62,35 +62,44 @@ def join_decades(rows: DataFrame, by_decade: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(by_decade), "decade")
 
 
-def score_pairs(pairs: DataFrame, **skew) -> DataFrame:
+def score_pairs(pairs: DataFrame, left: DataFrame | None = None, right: DataFrame | None = None,
+                sizes: DataFrame | None = None, **skew) -> DataFrame:
     """``decade, w1, w2, c, c1, c2, n, pmi, npmi``. Pairs with a zero count have no score and are dropped.
 
-    The pairs are read several times: pass a written table.
+    The pairs are read several times: pass a written table. Marginals and sizes that were written already may be given.
     """
     counted = pairs.where(F.col("c") > 0)
-    limit = hot_limit(counted, **skew)
-    left = pin(left_marginal(counted), "left-marginal")
+    limit = hot_limit(pairs, **skew)
+    # read twice where there may be hot words
+    kept = (lambda table, label: table) if limit is None else pin
+    left = kept(left_marginal(counted), "left-marginal") if left is None else left
+    right = kept(right_marginal(counted), "right-marginal") if right is None else right
     joined = join_left_counts(counted, left, limit)
-    joined = join_right_counts(joined, right_marginal(counted), limit)
-    joined = join_decades(joined, corpus_size(left, "c1"))
+    joined = join_right_counts(joined, right, limit)
+    joined = join_decades(joined, corpus_size(counted) if sizes is None else sizes)
     figures = [F.col(name) for name in ("c", "c1", "c2", "n")]
     return joined.select("decade", "w1", "w2", *figures,
                          scores.pmi(*figures).alias("pmi"), scores.npmi(*figures).alias("npmi"))
 
 
+#: sums of scores count in units of this size
+SCORE_UNITS = 1_000_000_000
+
+
 def score_totals(scored: DataFrame, mode: str = "truncated") -> DataFrame:
     """S per decade, over all scored pairs.
 
-    ``truncated`` cuts the sum of each right word to three decimals before adding up; the sum is
-    first rounded to nine decimals, so that its last bits, which depend on the order of adding,
-    do not decide. ``exact`` adds the scores as they are.
+    ``truncated`` cuts the sum of each right word to three decimals before adding up; ``exact`` adds the scores as they
+    are. Scores are added as whole numbers of units of 1e-9, so that no order of adding changes a bit of the sum.
     """
+    units = F.round(F.col("npmi") * SCORE_UNITS).cast("bigint")
     if mode == "exact":
-        return scored.groupBy("decade").agg(F.sum("npmi").alias("s"))
+        whole = F.sum(units.cast("decimal(19,0)"))
+        return scored.groupBy("decade").agg((whole.cast("double") / SCORE_UNITS).alias("s"))
     if mode != "truncated":
         raise ValueError(f"unknown mode {mode!r}")
-    by_word = scored.groupBy("decade", "w2").agg(F.sum("npmi").alias("s"))
-    thousandths = F.round(F.col("s") * 1000, 6).cast("bigint")
+    by_word = scored.groupBy("decade", "w2").agg(F.sum(units).alias("s"))
+    thousandths = F.expr(f"s div {SCORE_UNITS // 1000}")
     return by_word.groupBy("decade").agg((F.sum(thousandths) / 1000).alias("s"))
 
 

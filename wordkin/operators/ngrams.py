@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordkin.functions.text import words
-from wordkin.operators.skew import BROADCAST_BYTES, broadcast_if_small
+from wordkin.operators.skew import BROADCAST_BYTES, fits_broadcast
+from wordkin.storage import pin
 
 # fixed values: the decade window
 FIRST_YEAR = 1500
@@ -42,12 +43,53 @@ def parse_ngrams(lines: DataFrame, column: str = "value") -> DataFrame:
     return valid_ngrams(tokenise_lines(lines, column))
 
 
-def drop_stop_words(ngrams: DataFrame, stop_words: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+#: bits of a word filter per word, and bits of one of its rows
+FILTER_BITS, BLOCK_BITS = 32, 4096
+
+
+def _place(word: Column, blocks: int) -> tuple[Column, Column]:
+    """The row of a filter and the bit in it that stand for a word."""
+    place = F.pmod(F.xxhash64(word), F.lit(blocks * BLOCK_BITS))
+    return F.floor(place / BLOCK_BITS), (place % BLOCK_BITS).cast("int")
+
+
+def word_filter(words: DataFrame, blocks: int) -> DataFrame:
+    """A Bloom filter with one hash of the column ``word``: ``block, bits``, at most ``blocks`` rows of 512 bytes."""
+    block, bit = _place(F.col("word"), blocks)
+    whole = words.where("word is not null").groupBy(block.alias("block")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    return whole.select("block", F.substring("bits", 1, BLOCK_BITS // 8).alias("bits"))
+
+
+def _with_filter(rows: DataFrame, name: str, held: DataFrame, blocks: int) -> DataFrame:
+    """Add ``_maybe_<name>``: false if the word of that column is not in the filter."""
+    block, bit = _place(F.col(name), blocks)
+    octet = F.conv(F.hex(F.substring("_bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = F.coalesce(F.getbit(octet, bit % 8) == 1, F.lit(False))
+    filtered = F.broadcast(held.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")))
+    return rows.join(filtered, block == F.col("_block"), "left").withColumn(f"_maybe_{name}", known).drop("_block", "_bits")
+
+
+def drop_stop_words(ngrams: DataFrame, stop_words: DataFrame, max_bytes: int = BROADCAST_BYTES, filter_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Drop records with a listed word on either side; exact case, duplicates kept.
 
-    The list is broadcast up to ``max_bytes``; beyond, the anti joins shuffle, with skew splitting.
+    The list is broadcast up to ``max_bytes``. Beyond, a filter of it is, up to ``filter_bytes``, 4 bytes a word: records with no word that
+    may be listed are kept as they are, and only the others, few besides those that go, are shuffled to the anti joins. The records are
+    then read twice. A list too long for that is joined by shuffling all records, with skew splitting.
     """
-    stop = broadcast_if_small(stop_words.select("word"), max_bytes)
+    words = stop_words.select("word")
+    if fits_broadcast(words, max_bytes):
+        return _without(ngrams, F.broadcast(words))
+    blocks = max(1, -(-words.count() * FILTER_BITS // BLOCK_BITS))
+    if blocks * BLOCK_BITS // 8 > filter_bytes:
+        return _without(ngrams, words)
+    held = pin(word_filter(words, blocks), "word-filter")
+    marked = _with_filter(_with_filter(ngrams, "w1", held, blocks), "w2", held, blocks)
+    maybe = F.col("_maybe_w1") | F.col("_maybe_w2")
+    return (marked.where(~maybe).select(*ngrams.columns)
+            .unionAll(_without(marked.where(maybe).select(*ngrams.columns), words)))
+
+
+def _without(ngrams: DataFrame, stop: DataFrame) -> DataFrame:
     return (ngrams.join(stop.withColumnRenamed("word", "w1"), "w1", "left_anti")
             .join(stop.withColumnRenamed("word", "w2"), "w2", "left_anti").select(*ngrams.columns))
 

@@ -2,60 +2,80 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordkin.functions.scores import is_perfect
 from wordkin.operators import collocations as co
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, drop_stop_words, roll_up_decades
 from wordkin.sinks.tables import write_decade_figures
-from wordkin.storage import check_run, digest, is_complete, pin
+from wordkin.storage import check_run, digest, fingerprint, is_complete, pin
 
 Observe = Callable[[DataFrame, str], DataFrame] | None
 
 
 def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mode: str = "truncated",
-                      fp_perfect: bool = False, work_dir: str | None = None, observe: Observe = None, **skew) -> DataFrame:
+                      fp_perfect: bool = False, work_dir: str | None = None, observe: Observe = None,
+                      inputs: str | None = None, **skew) -> DataFrame:
     """From decade pair counts to ``decade, w1, w2, npmi``, unsorted.
 
     The pairs are read by the marginals, the sizes and the join, the scored pairs by the decade
     totals and the thresholds: both are written once, below the shared folder. With a ``work_dir``
-    they are written there, next to the figures per decade, and a run that is started again takes up
-    the finished ones. A folder that was begun with another sum mode is refused. ``observe(table, step)`` gets the tables
-    of the steps before they run, and returns them, for instance with a count of their rows.
+    they are written there, with the figures per decade, which the job reads back, and a run that is started again takes up
+    the finished ones. A step belongs to what it was computed from: the pairs to the fingerprint of their input (``inputs``, or that of
+    ``pairs``), the scores to the pairs' and the totals to the scores' and the sum mode. A folder that was begun with anything else is refused.
+    ``observe(table, step)`` gets the tables of the steps before they run, and returns them, for instance with a count of their rows.
     """
     spark = pairs.sparkSession
     if work_dir:
-        check_run(spark, f"{work_dir}/scores", sum_mode=sum_mode)
+        check_run(spark, f"{work_dir}/pairs-of", inputs=inputs or fingerprint(pairs))
+        check_run(spark, f"{work_dir}/totals-of", sum_mode=sum_mode)
     watched = observe or (lambda table, step: table)
     pairs = pin(watched(pairs, "pairs"), "pairs", work_dir)
-    scored = co.score_pairs(pairs, **skew).select(
+    steps = {}
+    if work_dir:
+        counted = pairs.where(F.col("c") > 0)
+        steps["left"] = pin(co.left_marginal(counted), "left-marginal", work_dir)
+        steps["right"] = pin(co.right_marginal(counted), "right-marginal", work_dir)
+        steps["sizes"] = _figures(co.corpus_size(steps["left"], "c1"), f"{work_dir}/sizes")
+    scored = co.score_pairs(pairs, **steps, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
     scored = pin(watched(scored, "scored"), "scored", work_dir)
     totals = co.score_totals(scored, sum_mode)
     if work_dir:
-        if not is_complete(spark, f"{work_dir}/sizes"):
-            write_decade_figures(co.corpus_size(pairs), f"{work_dir}/sizes")
-        if not is_complete(spark, f"{work_dir}/totals"):
-            write_decade_figures(totals, f"{work_dir}/totals")
-        totals = spark.read.schema(totals.schema).parquet(f"{work_dir}/totals")
+        totals = _figures(totals, f"{work_dir}/totals")
     found = co.filter_collocations(scored, totals, min_npmi, min_rel, F.col("perfect"), fp_perfect)
     return found.select("decade", "w1", "w2", "npmi")
 
 
+def _figures(by_decade: DataFrame, path: str) -> DataFrame:
+    """Per-decade figures as their file has them, which is written if it isn't there."""
+    spark = by_decade.sparkSession
+    if not is_complete(spark, path):
+        write_decade_figures(by_decade, path)
+    return spark.read.schema(by_decade.schema).parquet(path)
+
+
+def step_counts(spark: SparkSession, work_dir: str) -> dict[str, int]:
+    """Rows of the steps that a run has left in ``work_dir``, from the files' footers: pairs, marginals (N, c(w1) and c(w2)), scored."""
+    tables = {"pairs": ["pairs"], "marginals": ["sizes", "left-marginal", "right-marginal"], "scored": ["scored"]}
+    return {step: sum(spark.read.parquet(f"{work_dir}/{name}").count() for name in names) for step, names in tables.items()}
+
+
 def extract_collocations(ngrams: DataFrame, stop_words: DataFrame, min_npmi: float, min_rel: float,
                          start: int = FIRST_YEAR, end: int = LAST_YEAR, ordered: bool = True,
-                         source: str = "", observe: Observe = None, **options) -> DataFrame:
+                         observe: Observe = None, **options) -> DataFrame:
     """2-gram records to collocations, per decade, strongest first: ``decade, w1, w2, npmi``.
 
     ``ordered=False`` leaves the sorting to a writer that sorts itself. ``options`` are those of
-    :func:`find_collocations`. A ``work_dir`` belongs to one stop list, window and ``source``, a name for the input; a
-    run with others is refused.
+    :func:`find_collocations`. A ``work_dir`` belongs to one input, stop list and window, which are told by the fingerprint of the
+    records (or ``inputs``) and the rows of the list; a run with others is refused.
     """
     if options.get("work_dir"):
-        check_run(ngrams.sparkSession, options["work_dir"], start=start, end=end, stop_words=digest(stop_words), source=source)
+        options["inputs"] = json.dumps([options.get("inputs") or fingerprint(ngrams), digest(stop_words), start, end])
     kept = drop_stop_words(ngrams, stop_words)
     pairs = roll_up_decades(observe(kept, "kept") if observe else kept, start, end)
     found = find_collocations(pairs, min_npmi, min_rel, observe=observe, **options)

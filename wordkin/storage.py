@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +62,26 @@ def digest(df: DataFrame) -> str:
     """A number for the rows of a table, whatever their order."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
     return f"{row['n']}/{row['h']}"
+
+
+def files_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A number for the names, lengths and times of the files below some paths. They are listed, on Spark, and not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return digest(files.select("path", "length", "modificationTime"))
+
+
+def fingerprint(df: DataFrame) -> str:
+    """What a result depends on: the files it is read from, and how it is computed from them.
+
+    A result that doesn't come from files alone, such as one of rows given by the program, is told by its rows, which takes
+    a pass over them.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    from_files = all(leaves.apply(i).getClass().getSimpleName() == "LogicalRelation" for i in range(leaves.size()))
+    files = df.inputFiles() if from_files else []
+    if not files:
+        return f"rows {digest(df)}"
+    shape = re.sub(r"#\d+L?", "", plan.canonicalized().toString())
+    # the names come encoded, and are read as paths
+    return f"files {files_fingerprint(df.sparkSession, [unquote(name) for name in files])} {hashlib.sha256(shape.encode()).hexdigest()[:16]}"

@@ -32,8 +32,8 @@ PARTS = {
     "scored": """SELECT decade, w1, w2, c, c1, c2, n, ln(c) + ln(n) - ln(c1) - ln(c2) AS pmi,
         (ln(c) + ln(n) - ln(c1) - ln(c2)) / -ln(c::DOUBLE / n::DOUBLE) AS npmi
         FROM d JOIN m1 USING (decade, w1) JOIN m2 USING (decade, w2) JOIN sizes USING (decade) WHERE c > 0""",
-    "totals": """SELECT decade, sum(CAST(trunc(round(s * 1000, 6)) AS BIGINT)) / 1000 AS s
-        FROM (SELECT decade, w2, sum(npmi) AS s FROM scored GROUP BY ALL) GROUP BY decade""",
+    "totals": """SELECT decade, sum(s // 1000000)::DOUBLE / 1000 AS s
+        FROM (SELECT decade, w2, sum(CAST(round(npmi * 1e9) AS BIGINT)) AS s FROM scored GROUP BY ALL) GROUP BY decade""",
     "found": f"""SELECT decade, w1, w2, npmi FROM scored JOIN totals USING (decade)
         WHERE NOT (c = c1 AND c = c2)
         AND (npmi >= {MIN_NPMI} OR CASE WHEN s <> 0 THEN npmi / s >= {MIN_REL} ELSE npmi > 0 END)""",
@@ -102,6 +102,7 @@ PARTS = {
         UNION ALL SELECT 'f' || i, 2, NULL::BIGINT, NULL::BIGINT, '{HTML_FOOTER}' FROM range(6) AS t(i)""",
 }
 
+SPAN_MS = 5 * 86_400_000
 _PROCESSED = "SELECT link, color, entities, is_sarcastic FROM processed"
 _MARGINALS = """SELECT 'n' AS kind, decade, NULL AS word, n AS total FROM sizes UNION ALL
     SELECT 'c1', decade, w1, c1 FROM m1 UNION ALL SELECT 'c2', decade, w2, c2 FROM m2"""
@@ -126,8 +127,8 @@ SELECTS = {
     "join_w2": "SELECT decade, w1, w2, c, c1, c2 FROM d JOIN m1 USING (decade, w1) JOIN m2 USING (decade, w2)",
     "pmi": "SELECT decade, w1, w2, round(pmi, 6) AS pmi, round(c::DOUBLE / n::DOUBLE, 9) AS p FROM scored",
     "npmi": "SELECT decade, w1, w2, c, c1, c2, n, round(npmi, 6) AS npmi FROM scored",
-    "npmi_sum": """SELECT decade, round(s, 3) AS s, round(s_exact, 4) AS s_exact FROM totals
-        JOIN (SELECT decade, sum(npmi) AS s_exact FROM scored GROUP BY decade) USING (decade)""",
+    "npmi_sum": """SELECT decade, s, s_exact FROM totals
+        JOIN (SELECT decade, sum(CAST(round(npmi * 1e9) AS BIGINT))::DOUBLE / 1e9 AS s_exact FROM scored GROUP BY decade) USING (decade)""",
     "filter_abs": f"SELECT decade, w1, w2, round(npmi, 6) AS npmi FROM scored WHERE npmi >= {MIN_NPMI}",
     "filter_rel": f"""SELECT decade, w1, w2, round(npmi, 6) AS npmi FROM scored JOIN totals USING (decade)
         WHERE CASE WHEN s <> 0 THEN npmi / s >= {MIN_REL} ELSE npmi > 0 END""",
@@ -174,7 +175,10 @@ SELECTS = {
         CASE WHEN product_id % 4 = 3 OR product_id % 11 = 7 THEN '{"processedEntries":[]}' ELSE line END AS line FROM json_lines""",
     "stream_process_reviews": _PROCESSED,
     "stream_restart": _PROCESSED,
-    "stream_dedup": "SELECT DISTINCT client_key, file_key FROM requests",
+    "stream_dedup": f"""WITH spans AS (SELECT user_id AS client_key, event_id % 500 AS file_key, ts,
+        (epoch_ms(ts) // {SPAN_MS} + 1) * {SPAN_MS} AS span_end FROM events)
+        SELECT DISTINCT client_key, file_key, span_end, 1::BIGINT AS n, 'requests' AS kind FROM spans
+        UNION ALL SELECT client_key, file_key, span_end, count(*), 'late' FROM spans WHERE ts < '2024-01-03' GROUP BY ALL""",
     "stream_assemble": "SELECT file_key, fragments FROM complete",
 }
 

@@ -17,12 +17,13 @@ from wordkin.operators import ngrams as ng
 from wordkin.operators import reports
 from wordkin.operators import reviews as rv
 from wordkin.operators.skew import hot_limit
-from wordkin.plans.collocations import extract_collocations, find_collocations
+from wordkin.plans.collocations import extract_collocations, find_collocations, step_counts
 from wordkin.plans.reviews import process_files, run_reviews
 from wordkin.sinks import tables as sink
 from wordkin.sources import ngrams as src
 from wordkin.sources import products as psrc
-from wordkin.storage import pin, scratch_folder
+from wordkin.storage import fingerprint, pin, scratch_folder
+from wordkin.streaming import commits
 from wordkin.streaming import reviews as srv
 from wordkin.streaming import work
 from wordkin.suite import fixtures as fx
@@ -124,8 +125,8 @@ def npmi(spark, sf):
 def npmi_sum(spark, sf):
     scored, totals = _pinned_scores(spark, sf)
     exact = co.score_totals(scored, "exact").withColumnRenamed("s", "s_exact")
-    return totals.join(F.broadcast(exact), "decade").select(
-        "decade", F.round("s", 3).alias("s"), F.round("s_exact", 4).alias("s_exact"))
+    # years have four digits: a row per decade, at most 1000
+    return totals.join(F.broadcast(exact), "decade").select("decade", "s", "s_exact")
 
 
 def filter_abs(spark, sf):
@@ -171,29 +172,38 @@ def write_collocations(spark, sf):
 
 
 def resume_collocations(spark, sf):
-    """The first run leaves its tables and figures; the second, with other thresholds, takes them up."""
+    """The first run leaves its tables and figures; the second, with other thresholds, takes them up; a third, with other records, is refused."""
     work_dir, stop = scratch_folder(spark, "run"), fx.stop_words(spark, sf)
-    options = {"ordered": False, "work_dir": work_dir, "source": sf}
+    options = {"ordered": False, "work_dir": work_dir}
     extract_collocations(fx.ngrams(spark, sf), stop, 1.0, 1.0, **options)
     found = extract_collocations(fx.ngrams(spark, sf), stop, fx.MIN_NPMI, fx.MIN_REL, **options)
+    try:
+        extract_collocations(fx.ngrams(spark, sf).where("year <> 1900"), stop, fx.MIN_NPMI, fx.MIN_REL, **options)
+    except ValueError as refused:
+        if "holds another run" not in str(refused):
+            raise
+    else:
+        raise AssertionError("a run with other records took up the tables")
     sizes = spark.read.schema("decade int, n bigint").parquet(f"{work_dir}/sizes")
     return _rounded(co.join_decades(found, sizes))
 
 
 def stage_counts(spark, sf):
-    """Rows of each step; those up to the pairs are counted while the pairs are written."""
-    seen = {}
+    """Rows of each step; those up to the kept records are counted while the pairs are written, the others in their tables."""
+    seen, work_dir = {}, scratch_folder(spark, "run")
 
     def counted(df, stage):
-        df, seen[stage] = metrics.observe_rows(df, stage)
+        if stage in ("lines", "valid", "kept"):
+            df, seen[stage] = metrics.observe_rows(df, stage)
         return df
 
-    valid = counted(ng.parse_ngrams(counted(fx.raw_lines(fx.ngrams(spark, sf)), "lines")), "valid")
-    kept = counted(ng.drop_stop_words(valid, fx.stop_words(spark, sf)), "kept")
-    pairs = pin(counted(ng.roll_up_decades(kept), "pairs"), "pairs")
-    observed = spark.createDataFrame([(stage, count.get["rows"]) for stage, count in seen.items()], "stage string, rows bigint")
-    found = find_collocations(pairs, fx.MIN_NPMI, fx.MIN_REL)
-    return observed.unionByName(metrics.count_stages({"marginals": co.marginals_in_one_pass(pairs), "found": found}))
+    lines = fx.raw_lines(fx.ngrams(spark, sf))
+    valid = counted(ng.parse_ngrams(counted(lines, "lines")), "valid")
+    found = extract_collocations(valid, fx.stop_words(spark, sf), fx.MIN_NPMI, fx.MIN_REL, ordered=False, observe=counted,
+                                 work_dir=work_dir, inputs=fingerprint(lines))
+    counts = {stage: count.get["rows"] for stage, count in seen.items()} | step_counts(spark, work_dir)
+    told = spark.createDataFrame(list(counts.items()), "stage string, rows bigint").where("stage <> 'scored'")
+    return told.unionByName(metrics.count_stages({"found": found}))
 
 
 def scan_text(spark, sf):
@@ -391,44 +401,51 @@ def stream_process_reviews(spark, sf):
 
 
 def stream_restart(spark, sf):
-    """The first run fails when a batch is ready to publish; the second takes it up again."""
+    """One run fails between the writes of a batch, the next ahead of its manifest; the third takes the batch up again."""
     path, out, offsets = _review_files(spark, sf, "arriving"), scratch_folder(spark, "published"), scratch_folder(spark, "offsets")
-
-    def fail(batch_id: int) -> None:
-        raise RuntimeError("stopped before publishing")
-
-    options = {"files_per_batch": 1000, "availableNow": True}
     lists = fx.lexicon(spark), fx.gazetteer(spark)
-    try:
-        srv.stream_reviews(spark, f"{path}/*", out, offsets, *lists, before_publish=fail, **options).awaitTermination()
-    except Exception as error:
-        if "stopped before publishing" not in str(error):
-            raise
-    srv.stream_reviews(spark, f"{path}/*", out, offsets, *lists, **options).awaitTermination()
+    for stop in ("processed", "manifest", None):
+        def probe(batch_id: int, step: str, stop=stop) -> None:
+            if step == stop:
+                raise RuntimeError("stopped before publishing")
+
+        try:
+            srv.stream_reviews(spark, f"{path}/*", out, offsets, *lists, probe=probe, availableNow=True).awaitTermination()
+        except Exception as error:
+            if stop is None or "stopped before publishing" not in str(error):
+                raise
     return _shown(srv.read_published(spark, out))
 
 
+#: requests count once in so many seconds
+SPAN_SECONDS = 5 * 86_400
+
+
 def stream_dedup(spark, sf):
-    out = scratch_folder(spark, "requests")
-    events = fx.table(spark, sf, "events")
-    # several files, as the table has at any real size, taken up in several batches
-    path = scratch_folder(spark, "events")
-    events.repartition(4).write.parquet(path)
-    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    query = (work.unique_requests_stream(fx.with_request_columns(arriving).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1000 days").writeStream.format("parquet")
-             .option("path", out).option("checkpointLocation", scratch_folder(spark, "offsets"))
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    """Requests in the order of time, in two deliveries, so that the watermark passes most spans; then those of the first two days
+    again, which are late by then."""
+    events = fx.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    path, out, offsets = (scratch_folder(spark, label) for label in ("events", "requests", "offsets"))
+    for which in ("ts < '2024-01-16'", "ts >= '2024-01-16'", "ts < '2024-01-03'"):
+        events.where(which).write.mode("append").parquet(path)
+        arriving = fx.with_request_columns(spark.readStream.schema(events.schema).parquet(path))
+        work.stream_requests(arriving, out, offsets, "ts", SPAN_SECONDS, "5 days", availableNow=True).awaitTermination()
+    columns = ["client_key", "file_key", "span_end"]
+    once, late = (commits.read_published(spark, out, name).select(*columns, "n", F.lit(name).alias("kind")) for name in ("requests", "late"))
+    return once.unionByName(late.groupBy(*columns, "kind").agg(F.sum("n").alias("n")))
 
 
 def stream_assemble(spark, sf):
+    """Fragments in several batches, some of them twice, some without an expected number."""
     arrived = fx.fragments(spark, sf).select("file_key", "fragment_no", "expected")
-    path, out = scratch_folder(spark, "arrived"), scratch_folder(spark, "full")
+    again = F.when(F.col("fragment_no") % 3 == 0, 1).otherwise(0)
+    nothing = F.when((F.col("copy") == 1) & (F.col("fragment_no") % 2 == 0), F.lit(None)).otherwise(F.col("expected"))
+    path, out = scratch_folder(spark, "arrived"), scratch_folder(spark, "files")
+    arrived = arrived.withColumn("copy", F.explode(F.sequence(F.lit(0), again))).withColumn("expected", nothing).drop("copy")
     arrived.repartition(4).write.parquet(path)
     stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    work.stream_full_bitmaps(stream, out, scratch_folder(spark, "offsets"), availableNow=True).awaitTermination()
-    return work.complete_files(spark.read.parquet(out)).select("file_key", "fragments")
+    work.stream_files(stream, out, scratch_folder(spark, "offsets"), availableNow=True).awaitTermination()
+    return commits.read_published(spark, out, "files").select("file_key", "fragments")
 
 
 QUERIES: dict[str, Query] = {
