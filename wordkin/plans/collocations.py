@@ -12,7 +12,7 @@ from wordkin.functions.scores import is_perfect
 from wordkin.operators import collocations as co
 from wordkin.operators.ngrams import FIRST_YEAR, LAST_YEAR, drop_stop_words, roll_up_decades
 from wordkin.sinks.tables import write_decade_figures
-from wordkin.storage import check_run, digest, fingerprint, is_complete, pin
+from wordkin.storage import check_run, digest, fingerprint, is_complete, pin, scratch_folder
 
 Observe = Callable[[DataFrame, str], DataFrame] | None
 
@@ -44,9 +44,8 @@ def find_collocations(pairs: DataFrame, min_npmi: float, min_rel: float, sum_mod
     scored = co.score_pairs(pairs, **steps, **skew).select(
         "decade", "w1", "w2", "npmi", is_perfect(F.col("c"), F.col("c1"), F.col("c2")).alias("perfect"))
     scored = pin(watched(scored, "scored"), "scored", work_dir)
-    totals = co.score_totals(scored, sum_mode)
-    if work_dir:
-        totals = _figures(totals, f"{work_dir}/totals")
+    # a row per decade, which a sort of the result would compute twice
+    totals = _figures(co.score_totals(scored, sum_mode), f"{work_dir}/totals" if work_dir else scratch_folder(spark, "totals"))
     found = co.filter_collocations(scored, totals, min_npmi, min_rel, F.col("perfect"), fp_perfect)
     return found.select("decade", "w1", "w2", "npmi")
 
