@@ -135,6 +135,25 @@ def test_bpe_as_the_library(spark, odd, none):
     assert bpe.encode_documents(none).count() == 0
 
 
+def test_characters_as_the_library_sees_them():
+    import unicodedata
+
+    import regex
+    from tokenizers import Tokenizer
+
+    want, got = Tokenizer.from_file(bpe.tokenizer_path()), bpe.load_bpe(bpe.tokenizer_path())
+    every = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)]]
+    # every character on which versions of Unicode may differ in class, and a share of all others
+    letter = regex.compile(r"\p{L}")
+    odd = [c for c in every if (unicodedata.category(c)[0] == "L") != bool(letter.match(c)) or unicodedata.category(c) == "Cn" and ord(c) % 29 == 0]
+    tried = [*odd, *every[::41], *map(chr, range(0x2000)), "\u1c89"]
+    for at in range(0, len(tried), 500):
+        text = " ".join(f"a{c}B9{c}" for c in tried[at:at + 500])
+        ids = want.encode(text, add_special_tokens=False).ids
+        if got.encode(text).tolist() != ids:
+            assert not [hex(ord(c)) for c in tried[at:at + 500] if got.encode(f"a{c}B9{c}").tolist() != want.encode(f"a{c}B9{c}", add_special_tokens=False).ids]
+
+
 def test_decoder_is_incremental():
     model = bpe.WordBpe(bpe.tokenizer_path())
     ids = model.encode("日本 🎉 été").tolist()

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +38,6 @@ _END = "</w>"
 
 # fixed value: the tokenizer's pattern of words, once for any text and once, faster, for texts in Latin-1
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{white}{letter}{number}]+"
-_ANY_WORDS = regex.compile(_PATTERN.format(letter=r"\p{L}", number=r"\p{N}", white=_WHITE))
 
 
 def _latin(kind: str) -> str:
@@ -49,15 +47,46 @@ def _latin(kind: str) -> str:
 _LATIN_WORDS = re.compile(_PATTERN.format(letter=_latin("L"), number=_latin("N"), white=_WHITE[:6]))
 
 
-def split_words(text: str) -> list[str]:
-    """The words of a text in normal form and lower case."""
-    # U+03A3 has one lower case here, wherever it stands
-    text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return _ANY_WORDS.findall(text)
-    return _LATIN_WORDS.findall(text)
+@functools.lru_cache(maxsize=1)
+def character_classes() -> tuple[str, str]:
+    """The letters and the numbers, as ranges in a character class.
+
+    Which these are changes with the version of Unicode, so the tokenizers library is asked for its own: what is left of all
+    characters when it takes them out. The driver asks once and sends the answer along, so all tasks cut words alike.
+    """
+    from tokenizers import Regex, normalizers
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    found = []
+    for kind in "LN":
+        others = set(normalizers.Replace(Regex(rf"\p{{{kind}}}"), "").normalize_str(every))
+        codes = np.array([ord(c) for c in every if c not in others])
+        starts = np.flatnonzero(np.diff(codes, prepend=-2) != 1)
+        ends = np.concatenate([starts[1:], [len(codes)]]) - 1
+        found.append("".join(f"\\U{codes[i]:08x}-\\U{codes[j]:08x}" for i, j in zip(starts, ends, strict=True)))
+    return found[0], found[1]
+
+
+@functools.lru_cache(maxsize=1)
+def _normal_form():
+    from tokenizers import normalizers
+
+    return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
+class WordCutter:
+    """Cuts a text into words, in normal form and lower case."""
+
+    def __init__(self, classes: tuple[str, str]):
+        self._any = re.compile(_PATTERN.format(letter=classes[0], number=classes[1], white=_WHITE))
+
+    def __call__(self, text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self._any.findall(_normal_form().normalize_str(text))
+        # such a text is in normal form
+        return _LATIN_WORDS.findall(text.lower())
 
 
 def _byte_letters() -> list[str]:
@@ -71,7 +100,8 @@ def _byte_letters() -> list[str]:
 class WordBpe:
     """A tokenizer file with merges over byte letters, lower-cased words and a mark at the end of a word."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, classes: tuple[str, str] | None = None):
+        self._cut = WordCutter(classes or character_classes())
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -248,7 +278,7 @@ class WordBpe:
 
     def _plain(self, text: str) -> bytes:
         get, word_ids = self._cache.get, self._word
-        return b"".join([get(w) or word_ids(w) for w in split_words(text)])
+        return b"".join([get(w) or word_ids(w) for w in self._cut(text)])
 
     def stream_text(self, text: str) -> Iterator[bytes]:
         """Ids of a text as pieces of 32-bit integers, slice by slice."""
@@ -301,9 +331,9 @@ class TextDecoder:
 
 
 @functools.lru_cache(maxsize=4)
-def load_bpe(path: str) -> WordBpe:
+def load_bpe(path: str, classes: tuple[str, str] | None = None) -> WordBpe:
     """Loaded once per worker."""
-    return WordBpe(path)
+    return WordBpe(path, classes)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -316,15 +346,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 def encode_documents(docs: DataFrame, path: str | None = None, decode: bool = False) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs`` (``doc_id, text``), with ``decode`` the text that the ids decode to as ``decoded``.
 
-    Null text counts as empty and gives no ids and an empty text. Repeated rows are encoded each. Rows are
-    encoded where they are read: nothing is shuffled. ``path`` must exist on all executors; by default
-    each finds the installed file.
+    Null text counts as empty and gives no ids and an empty text. Repeated rows are encoded each. A very long text is encoded slice
+    by slice, whole. Extra columns are not read; an empty table has no rows. Rows are encoded where they are read: nothing is shuffled.
+    ``path`` must exist on all executors; by default each finds the installed file.
     """
     ship_package(docs.sparkSession)
+    classes = character_classes()
     kinds = [pa.field("ids", pa.list_(pa.int32())), *([pa.field("decoded", pa.string())] if decode else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load_bpe(path or tokenizer_path())
+        bpe = load_bpe(path or tokenizer_path(), classes)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
