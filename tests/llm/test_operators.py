@@ -243,18 +243,57 @@ def test_cuckoo_filter():
     assert held.contains(hashes[1500:3000]).all() and held.contains(hashes[:1500]).mean() < 0.01
 
 
-def test_deleted_documents_leave_no_trace(spark):
-    rows = [(i, f"shared line number {i % 5}\nown line number {i}") for i in range(40)]
-    refs = lines.line_references(spark.createDataFrame(rows, "doc_id bigint, text string")).persist()
-    index = lines.LineIndex(spark, 3)
-    for part in range(4):
-        index.insert(refs.where(F.col("doc_id") % 4 == part))
-    assert index.found == 5
-    assert index.repeated().agg(F.max("keep_doc")).first()[0] == 4
-    index.delete(spark.createDataFrame([(i,) for i in range(35)], "doc_id bigint"))
-    assert index.repeated().count() == 0 and index.counts().count() == 10
-    index.insert(refs.where("doc_id < 5"))
-    assert sorted(r.keep_doc for r in index.repeated().collect()) == [0, 1, 2, 3, 4]
+def lines_of(spark, rows):
+    return lines.line_references(spark.createDataFrame(rows, "doc_id bigint, text string")).persist()
+
+
+def counts_by_hand(rows):
+    docs = {}
+    for d, text in rows:
+        for line in text.split("\n"):
+            docs.setdefault(line, set()).add(d)
+    return {hashlib.sha256(k.encode()).digest(): (len(v), min(v)) for k, v in docs.items()}
+
+
+def table_of(index):
+    return {bytes(r.key): (r.n_docs, r.first_doc) for r in index.current().collect()}
+
+
+@pytest.mark.parametrize("shard_keys", [20, 1000])
+def test_line_index(spark, shard_keys):
+    """Insertions and deletions against counting by hand, with shards that split and without."""
+    rng = random.Random(7)
+    rows = [(d, "\n".join(f"line of some length {rng.randint(0, 120) if rng.random() < 0.6 else 1000 + d}" for _ in range(8))) for d in range(60)]
+    index = lines.LineIndex(spark, shard_keys)
+    for part in range(3):
+        index.insert(lines_of(spark, [r for r in rows if r[0] % 3 == part]))
+        want = counts_by_hand([r for r in rows if r[0] % 3 <= part])
+        assert table_of(index) == want and index.n_keys == len(want)
+        assert {bytes(r.key): r.keep_doc for r in index.repeated().collect()} == {k: first for k, (n, first) in want.items() if n > 1}
+    assert index.found <= index.asked < index.found + 10 and (index.shards > 4) == (shard_keys == 20)
+    index.delete(spark.createDataFrame([(d,) for d in range(35)], "doc_id bigint"))
+    want = counts_by_hand(rows[35:])
+    assert table_of(index) == want and index.n_keys == len(want)
+    index.insert(lines_of(spark, rows[:5]))
+    assert table_of(index) == counts_by_hand(rows[:5] + rows[35:])
+    # a filter holds the keys of its shard and few others
+    held = {r.shard: lines.CuckooFilter(table=np.frombuffer(r["filter"], np.uint16).reshape(-1, lines.SLOTS)) for r in index.filters.collect()}
+    hashes = np.array([r.h for r in index.current().collect()], np.int64)
+    shards = (hashes >> 20) % index.shards
+    assert all(held[s].contains(hashes[shards == s].view(np.uint64)).all() for s in set(shards.tolist()))
+
+
+def test_the_filters_decide(spark, monkeypatch):
+    """With filters that hold nothing, repeats across batches are not found: the result comes through them."""
+    rows = [(d, f"one line for all of them\nline of document number {d}") for d in range(6)]
+    batches = [lines_of(spark, rows[:1]), lines_of(spark, rows[1:2])]
+    for empty in (False, True):
+        index = lines.LineIndex(spark)
+        for batch in batches:
+            if empty:
+                monkeypatch.setattr(index, "filters", index.filters.limit(0))
+            index.insert(batch)
+        assert index.repeated().count() == (0 if empty else 1)
 
 
 def test_lines_of_odd_rows(odd, none):

@@ -1,8 +1,9 @@
 """Reversible line dedup: sharded cuckoo filters in front of exact reference-count tables.
 
-A line's key is counted by the documents that hold it. The count table is the truth; the filter of a shard
-answers for most keys of a new batch that the shard has never seen them, so that only the others are
-looked up. Documents can be taken out again: their references go, and keys without references leave the filters.
+The count table has, of each key, how many documents hold it and the smallest of them. The filter of a shard says of most keys of a new batch that
+the index has never seen them: these are appended to the count table as they are. Only keys that a filter lets through are
+looked up in it, and those that are found there are merged. A key is known to be repeated by its counts alone, so what the filters say
+decides the result. Documents can be taken out again: the counts of their keys go down, and keys without documents leave the filters.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from wordkin.storage import pin
 
 MIN_KEY_LENGTH = 10
 
-#: keys that a shard's filter is meant for; shards are split when an index is built for more
+#: keys of a shard; with more of them the shards are split
 SHARD_KEYS = 1 << 18
 #: entries per bucket of a filter, bits of a fingerprint, and moves before a filter is doubled
 SLOTS, PRINT_BITS, MAX_MOVES = 4, 16, 200
@@ -88,8 +89,8 @@ class CuckooFilter:
                     break
 
     @classmethod
-    def of(cls, hashes: np.ndarray) -> CuckooFilter:
-        capacity = max(1024, len(hashes))
+    def of(cls, hashes: np.ndarray, capacity: int = 1024) -> CuckooFilter:
+        capacity = max(capacity, len(hashes))
         while not (made := cls(capacity)).add(hashes):
             capacity *= 2
         return made
@@ -121,103 +122,147 @@ def _shard(h: Column, shards: int) -> Column:
     return F.pmod(F.shiftright(h, 20), F.lit(shards)).cast("int")
 
 
-_FILTERS = "shard int, filter binary, hashes binary"
+_FILTERS = "shard int, filter binary"
+_KEYS = "key binary, h bigint, n_docs bigint, first_doc bigint"
 
 
 def _hashes(table: pd.DataFrame) -> np.ndarray:
-    return np.sort(table["h"].to_numpy().astype(np.int64).view(_U)) if len(table) else np.empty(0, _U)
+    return table["h"].to_numpy().astype(np.int64).view(_U) if len(table) else np.empty(0, _U)
 
 
-def _load(old: pd.DataFrame) -> tuple[CuckooFilter, np.ndarray]:
-    if not len(old):
-        return CuckooFilter(), np.empty(0, _U)
-    table = np.frombuffer(old["filter"].iloc[0], np.uint16).reshape(-1, SLOTS).copy()
-    return CuckooFilter(table=table), np.frombuffer(old["hashes"].iloc[0], np.int64).view(_U)
+def _load(filters: pd.DataFrame, shard_keys: int) -> CuckooFilter:
+    if not len(filters):
+        return CuckooFilter(shard_keys)
+    return CuckooFilter(table=np.frombuffer(filters["filter"].iloc[0], np.uint16).reshape(-1, SLOTS).copy())
 
 
-def _store(shard: tuple, held: CuckooFilter, hashes: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame({"shard": [shard[0]], "filter": [held.table.tobytes()], "hashes": [hashes.tobytes()]})
-
-
-def _look_up(shard: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-    """The hashes of a batch that a shard's filter may hold."""
-    hashes = _hashes(new)
-    return pd.DataFrame({"h": hashes[_load(old)[0].contains(hashes)].view(np.int64)})
-
-
-def _add(shard: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-    hashes, (held, kept) = _hashes(new), _load(old)
-    every = np.concatenate([kept, hashes])
-    if len(every) > 0.85 * held.table.size or not held.add(hashes):
-        held = CuckooFilter.of(every)
-    return _store(shard, held, every)
-
-
-def _remove(shard: tuple, lost: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-    hashes, (held, kept) = _hashes(lost), _load(old)
-    held.remove(hashes)
-    # one entry goes per removed key; keys may share a hash
-    order = np.argsort(kept, kind="stable")
-    first = np.searchsorted(kept[order], hashes)
-    nth = np.arange(len(hashes)) - np.searchsorted(hashes, hashes)
-    return _store(shard, held, np.delete(kept, order[first + nth]))
+def _store(shard: tuple, held: CuckooFilter | None) -> pd.DataFrame:
+    return pd.DataFrame({"shard": [shard[0]], "filter": [None if held is None else held.table.tobytes()]})
 
 
 class LineIndex:
-    """References of lines to documents, with a cuckoo filter per shard.
+    """How many documents hold each key, and the smallest of them, with a cuckoo filter per shard of the keys.
 
-    All state is in written tables: ``parts`` (``key, doc_id, at``), one per batch, and ``filters`` (``shard,
-    filter, hashes``), which keep the hashes a filter holds so that it can be rebuilt larger. ``insert`` and
-    ``delete`` write new tables and never change old ones. A shard has a share of the hash range, and
-    the number of shards goes with the number of keys, so that a shard's keys fit a task.
+    All state is in written tables: ``references`` (``key, doc_id, at``) and ``counts`` (``key, h, n_docs, first_doc``), a part per batch, and
+    ``filters`` (``shard, filter``). ``insert`` and ``delete`` write new tables and never change old ones. A key has a row in the count
+    part of each batch that held it, the later ones with the sum of all before. A shard has a share of the hash range; shards are split, and
+    their filters built anew from the count table, before they have more than ``shard_keys`` keys.
     """
 
-    def __init__(self, spark, shards: int):
+    def __init__(self, spark, shard_keys: int = SHARD_KEYS):
         ship_package(spark)
-        self.shards = shards
-        self.parts: list[DataFrame] = []
+        self.shards, self.shard_keys, self.n_keys = 1, shard_keys, 0
+        self.references: list[DataFrame] = []
+        self.counts: list[DataFrame] = []
         self.filters = pin(spark.createDataFrame([], _FILTERS), "line-filters")
-        #: how many keys the filters let through to the exact tables, and how many of them were there
+        #: of the last batch: keys that the filters let through to the count table, and how many of them were there
         self.asked, self.found = 0, 0
 
-    def references(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self.parts)
-
     def _by_shard(self, keys: DataFrame, run, schema: str) -> DataFrame:
-        hashed = keys.select(_shard(F.col("h"), self.shards).alias("shard"), "h")
-        return hashed.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(run, schema)
+        shard = _shard(F.col("h"), self.shards).alias("shard")
+        return keys.withColumn("shard", shard).groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(run, schema)
+
+    def _asked_for(self, keys: DataFrame) -> DataFrame:
+        """``keys`` with ``maybe``: whether the filters may hold them."""
+        size = self.shard_keys
+
+        def look_up(shard: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+            return new.drop(columns="shard").assign(maybe=_load(old, size).contains(_hashes(new)))
+
+        return self._by_shard(keys, look_up, f"{_KEYS}, maybe boolean")
+
+    def _add(self, keys: DataFrame, n: int) -> None:
+        """Put ``n`` keys, which are in the count table by now, into the filters."""
+        size = self.shard_keys
+
+        def add(shard: tuple, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+            held = _load(old, size)
+            return _store(shard, held if held.add(_hashes(new)) else None)
+
+        self.n_keys += n
+        if self.n_keys > self.shards * size:
+            return self._split()
+        self.filters = pin(self._by_shard(keys.select("h"), add, _FILTERS), "line-filters")
+        if not self.filters.where("filter IS NULL").isEmpty():
+            self._split()
+
+    def _split(self, room: int = 0) -> None:
+        """More shards, for all keys and ``room`` more, with filters of the keys of the count table."""
+        self.shards *= 2
+        while self.shards * self.shard_keys < self.n_keys + room:
+            self.shards *= 2
+        size, shards = self.shard_keys, self.shards
+
+        def build(table: pd.DataFrame) -> pd.DataFrame:
+            return _store((int(table["shard"].iloc[0]),), CuckooFilter.of(_hashes(table), size))
+
+        keys = self.current().select(_shard(F.col("h"), shards).alias("shard"), "h")
+        self.filters = pin(keys.groupBy("shard").applyInPandas(build, _FILTERS), "line-filters")
+
+    def current(self, only: DataFrame | None = None) -> DataFrame:
+        """The count table, a row per key; ``only`` of the keys in that table."""
+        parts = reduce(DataFrame.unionByName, self.counts)
+        if only is not None:
+            parts = parts.join(only, "key", "left_semi")
+        # counts of later batches are larger, their smallest documents smaller or the same
+        return parts.groupBy("key").agg(F.first("h").alias("h"), F.max("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
 
     def insert(self, references: DataFrame) -> None:
         """Add the written ``line_references`` of documents that the index doesn't hold yet."""
-        keys = pin(references.select("key").distinct().withColumn("h", F.xxhash64("key")), "line-keys")
-        new = keys
-        if self.parts:
-            maybe = pin(self._by_shard(keys, _look_up, "h bigint").distinct(), "line-maybe")
-            # only keys that the filters may hold are looked up in the exact tables
-            asked = pin(keys.join(broadcast_if_small(maybe), "h", "left_semi"), "line-asked")
-            known = pin(asked.join(self.references().select("key"), "key", "left_semi").select("key"), "line-known")
-            self.asked, self.found = asked.count(), known.count()
-            new = keys.join(known, "key", "left_anti")
-        self.filters = pin(self._by_shard(new, _add, _FILTERS), "line-filters")
-        self.parts.append(references)
+        batch = pin(_counted(references), "line-batch")
+        n = batch.count()
+        self.references.append(references)
+        if not self.counts:
+            self.counts.append(batch)
+            return self._add(batch, n)
+        if self.n_keys + n > self.shards * self.shard_keys:
+            self._split(n)
+        marked = pin(self._asked_for(batch), "line-marked")
+        asked = marked.where("maybe").drop("maybe")
+        # only keys that the filters may hold are looked up in the count table
+        known = self.current(broadcast_if_small(pin(asked.select("key"), "line-asked")))
+        known = pin(known.select("key", F.col("n_docs").alias("_n"), F.col("first_doc").alias("_first")), "line-known")
+        merged = asked.join(broadcast_if_small(known), "key", "left").select(
+            "key", "h", (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.least("first_doc", "_first").alias("first_doc"),
+            F.col("_n").isNull().alias("new"))
+        fresh = marked.where(~F.col("maybe")).drop("maybe").withColumn("new", F.lit(True))
+        part = pin(fresh.unionByName(merged), "line-counts")
+        self.asked, self.found = asked.count(), known.count()
+        self.counts.append(part.drop("new"))
+        self._add(part.where("new"), n - self.found)
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Take out all references of the documents in ``doc_ids`` (``doc_id``)."""
         gone = pin(doc_ids.select(_doc(F.col("doc_id")).alias("doc_id")).distinct(), "line-deleted")
-        before = self.references()
+        before = reduce(DataFrame.unionByName, self.references)
+        touched = pin(before.join(gone, "doc_id", "left_semi").select("key").distinct(), "line-touched")
         after = pin(before.join(gone, "doc_id", "left_anti"), "line-references")
-        lost = before.join(gone, "doc_id", "left_semi").select("key").distinct().join(after.select("key"), "key", "left_anti")
-        self.filters = pin(self._by_shard(lost.withColumn("h", F.xxhash64("key")), _remove, _FILTERS), "line-filters")
-        self.parts = [after]
+        # the keys of the documents are counted again, all others stay as they are
+        again = pin(_counted(after.join(touched, "key", "left_semi")), "line-again")
+        others = pin(self.current().join(touched, "key", "left_anti"), "line-others")
+        size = self.shard_keys
+
+        def remove(shard: tuple, lost: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+            held = _load(old, size)
+            held.remove(_hashes(lost))
+            return _store(shard, held)
 
-    def counts(self) -> DataFrame:
-        """``key, n_lines, first_doc, last_doc``: the exact table of a key's references."""
-        return self.references().groupBy("key").agg(
-            F.count("*").alias("n_lines"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+        lost = touched.join(again, "key", "left_anti").select(F.xxhash64("key").alias("h"))
+        self.filters = pin(self._by_shard(lost, remove, _FILTERS), "line-filters")
+        self.references, self.counts = [after], [others, again]
+        self.n_keys = others.count() + again.count()
 
     def repeated(self) -> DataFrame:
         """``key, keep_doc``: keys of at least two documents, and the smallest of those."""
-        return self.counts().where("first_doc <> last_doc").select("key", F.col("first_doc").alias("keep_doc"))
+        return (reduce(DataFrame.unionByName, self.counts).where("n_docs > 1").groupBy("key")
+                .agg(F.min("first_doc").alias("keep_doc")))
+
+
+def _counted(references: DataFrame) -> DataFrame:
+    """``key, h, n_docs, first_doc`` of some references. A key of very many documents is a few rows when it meets itself."""
+    return (references.select("key", "doc_id").distinct().groupBy("key")
+            .agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+            .select("key", F.xxhash64("key").alias("h"), "n_docs", "first_doc"))
 
 
 def drop_repeated_lines(docs: DataFrame, batches: int = 2) -> DataFrame:
@@ -230,12 +275,12 @@ def drop_repeated_lines(docs: DataFrame, batches: int = 2) -> DataFrame:
     """
     rows = docs.select("doc_id", "text")
     references = pin(line_references(rows).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")), "line-references")
-    index = LineIndex(docs.sparkSession, max(1, -(-references.count() // SHARD_KEYS)))
+    index = LineIndex(docs.sparkSession)
     for batch in range(batches):
         index.insert(references.where(F.col("batch") == batch).drop("batch"))
     repeated = broadcast_if_small(pin(index.repeated(), "repeated-lines"))
     # a row per document that loses lines, with their places
-    drops = (index.references().join(repeated, "key").where(F.col("doc_id") != F.col("keep_doc"))
+    drops = (references.join(repeated, "key").where(F.col("doc_id") != F.col("keep_doc"))
              .groupBy("doc_id").agg(F.collect_set("at").alias("_drop")))
     drops = broadcast_if_small(pin(drops, "dropped-lines").withColumnRenamed("doc_id", "_doc"))
     # the places that stay are found by hashing, not by search in the list
