@@ -217,22 +217,45 @@ def test_toxicity(spark, odd, none):
     rated = toxicity.rate_toxicity(docs, labels).join(labels, "doc_id").where("held_out")
     right, caught, wrong = rated.agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int")), F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))),
                                      F.avg(F.when(F.col("toxic") == 0, F.col("predicted")))).first()
-    # some 4000 labelled rows: insults of the rarer languages are seen too seldom to be learned
-    assert right > 0.95 and caught > 0.6 and wrong < 0.02
+    # some 4000 labelled rows: insults of the rarer languages are seen seldom
+    assert right > 0.97 and caught > 0.75 and wrong < 0.005
     blank = toxicity.rate_toxicity(odd, labels.limit(0))
     assert {r.score for r in blank.collect()} == {0.5} and blank.count() == 12
     assert toxicity.rate_toxicity(none, labels).count() == 0
 
 
+def test_a_machine_by_hand():
+    """Scores by the sum over all pairs; a step of the fit by numeric gradients is not needed: pairs are learned below."""
+    rng = np.random.default_rng(3)
+    machine = toxicity.FactorizationMachine(-0.3, rng.normal(0, 1, 50), rng.normal(0, 1, (50, 4)))
+    texts = [np.sort(rng.choice(50, rng.integers(0, 9), replace=False)) for _ in range(30)]
+    got = machine.score(np.repeat(np.arange(30), [len(t) for t in texts]), np.concatenate(texts), 30)
+    for text, score in zip(texts, got, strict=True):
+        raw = -0.3 + sum(machine.weights[i] for i in text) + sum(machine.factors[i] @ machine.factors[j] for i in text for j in text if i < j)
+        assert abs(1 / (1 + np.exp(-raw)) - score) < 1e-9
+
+
 def test_pairs_are_learned():
     rng = np.random.default_rng(5)
     sets = [np.sort(rng.choice(12, 4, replace=False)) for _ in range(3000)]
     marks = np.array([float(0 in s and 1 in s) for s in sets])
-    model = toxicity.fit(np.repeat(np.arange(3000), 4), np.concatenate(sets), marks)
+    terms, rows = np.concatenate(sets), np.repeat(np.arange(3000), 4)
+    told = toxicity.evidence(np.bincount(terms, minlength=12), np.bincount(terms, marks[rows], 12), 3000, int(marks.sum()))
+    model = toxicity.fit(rows, terms, marks, told)
     score = model.score(np.repeat(np.arange(3), 2), np.array([0, 1, 0, 2, 1, 3]), 3)
     assert score[0] > 0.5 > max(score[1:])
 
 
+def test_the_sample_of_a_fit_is_bounded(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat_ws(' ', if(id % 3 = 0, 'insult', 'kind'), id, id + 1, id * 7) AS text")
+    labels = docs.selectExpr("doc_id", "if(doc_id % 3 = 0, 1, 0) AS toxic")
+    whole, cut, none = (toxicity.fit_toxicity(docs.repartition(n), labels, train_terms=most) for n, most in ((3, 10 ** 6), (5, 400), (1, 3)))
+    again = toxicity.fit_toxicity(docs.repartition(7), labels, train_terms=400)
+    assert (again.weights == cut.weights).all() and (cut.weights != whole.weights).any() and (none.weights == 0).all()
+    scores = by_id(toxicity.score_toxicity(docs, cut))
+    assert all((scores[d][0] > 0.5) == (d % 3 == 0) for d in range(300))
+
+
 # ---- lines ----------------------------------------------------------------------------------
 
 def test_cuckoo_filter():

@@ -1,8 +1,9 @@
 """Toxicity by a factorization machine over hashed terms.
 
-``score = sigmoid(b + sum w_i + sum_{i<j} <v_i, v_j>)`` over a text's distinct terms. The pairs let a term that is
-harmless alone count beside another. The model has a fixed size; it is fitted on a bounded sample of labelled
-rows and scores whole texts.
+``score = sigmoid(b + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j)`` over a text's distinct terms, which are hashed to a table of ``2 ** TERM_BITS``.
+The pairs let a term that is harmless alone count beside another. ``x_i`` is how much a term tells about the label in the labelled rows, up to
+a bound: every term counts, and those that tell no more than chance would count for little, which keeps the many rare terms of the
+training rows from being learned by heart. The model has a fixed size; it is fitted on a bounded sample of labelled rows and scores whole texts.
 """
 
 from __future__ import annotations
@@ -16,18 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordkin.llm.kernels import ship_package, words
+from wordkin.storage import pin
 
-#: labelled rows that a model is fitted on at most, those with the smallest hashes of their ids
-TRAIN_ROWS = 20_000
-#: of the terms that so many of these rows have, those that tell most about the label are features
-MIN_ROWS = 5
-FEATURES = 1024
-TERM_BITS = 40
+#: labelled rows that a model is fitted on at most, those with the smallest hashes of their ids, and the terms they may have together
+TRAIN_ROWS, TRAIN_TERMS = 20_000, 8_000_000
+TERM_BITS = 18
 FACTORS = 4
-EPOCHS = 12
+EPOCHS = 8
 BATCH = 256
 RATE = 0.1
 DECAY = 1e-5
+#: a term's evidence (its G statistic) counts in units of this, up to so many
+EVIDENCE_UNIT, MOST_EVIDENCE = 20.0, 3.0
 
 _U = np.uint64
 #: punctuation around a word that is no part of its term
@@ -36,85 +37,71 @@ _STRIP = ".,;:!?\"'()[]{}*$%&#-_"
 
 @dataclass
 class FactorizationMachine:
+    """Weights and factors with the evidence of their terms multiplied in."""
+
     bias: float
-    weights: np.ndarray  # (features,)
-    factors: np.ndarray  # (features, FACTORS)
-    terms: np.ndarray  # (features,), ascending hashes
+    weights: np.ndarray  # (2 ** TERM_BITS,)
+    factors: np.ndarray  # (2 ** TERM_BITS, FACTORS)
 
     def score(self, rows: np.ndarray, terms: np.ndarray, n: int) -> np.ndarray:
-        """Scores of ``n`` texts; ``terms`` are distinct within each text of ``rows``, which ascend."""
-        rows, found = self.features(rows, terms)
-        return _sigmoid(self._raw(rows, found, n)[0])
-
-    def features(self, rows: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The terms that are features, as their numbers."""
-        if not len(self.terms):
-            return rows[:0], terms[:0]
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        known = self.terms[at] == terms
-        return rows[known], at[known]
-
-    def _raw(self, rows: np.ndarray, features: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        v = self.factors[features]
-        linear = np.bincount(rows, self.weights[features], n)
-        sums = np.stack([np.bincount(rows, v[:, f], n) for f in range(v.shape[1])], 1) if len(rows) else np.zeros((n, FACTORS))
-        squares = np.bincount(rows, (v * v).sum(1), n)
-        return self.bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
+        """Scores of ``n`` texts; ``terms`` are distinct within each text of ``rows``."""
+        return _sigmoid(_raw(self.bias, self.weights[terms], self.factors[terms], rows, n)[0])
+
+
+def _raw(bias: float, weights: np.ndarray, factors: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The machine's sums before the sigmoid, and the sums of the factors of each text."""
+    linear = np.bincount(rows, weights, n)
+    sums = np.stack([np.bincount(rows, factors[:, f], n) for f in range(factors.shape[1])], 1)
+    squares = np.bincount(rows, (factors * factors).sum(1), n)
+    return bias + linear + 0.5 * ((sums * sums).sum(1) - squares), sums
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def _told(n: np.ndarray, k: np.ndarray, rows: int, marked: int) -> np.ndarray:
-    """Mutual information of having a term (``n`` rows, ``k`` of them marked) with the mark (``marked`` of ``rows``)."""
+def evidence(n: np.ndarray, k: np.ndarray, rows: int, marked: int) -> np.ndarray:
+    """What having a term (``n`` rows, ``k`` of them marked) tells about the mark (``marked`` of ``rows``), in units and bounded."""
     cells = [(k, n, marked), (n - k, n, rows - marked), (marked - k, rows - n, marked), (rows - marked - n + k, rows - n, rows - marked)]
-    return sum(c / rows * np.log(np.maximum(c, 1e-9) * rows / np.maximum(a * b, 1e-9)) for c, a, b in cells)
+    g = 2 * sum(c * np.log(np.maximum(c, 1e-9) * rows / np.maximum(a * b, 1e-9)) for c, a, b in cells)
+    return np.where(n > 0, np.clip(g / EVIDENCE_UNIT, 0, MOST_EVIDENCE), 0)
 
 
-def fit(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, seed: int = 7) -> FactorizationMachine:
-    """Adagrad on the logistic loss. ``terms`` are the distinct terms of each text, ``rows`` their texts, ascending."""
-    names, number, counts = np.unique(terms, return_inverse=True, return_counts=True)
-    marked = np.bincount(number, labels[rows], len(names))
-    told = np.where(counts >= MIN_ROWS, _told(counts, marked, max(len(labels), 1), labels.sum()), -1.0)
-    chosen = np.sort(np.argsort(-told, kind="stable")[:FEATURES])
-    chosen = chosen[counts[chosen] >= MIN_ROWS]
+def fit(rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, told: np.ndarray, seed: int = 7) -> FactorizationMachine:
+    """Adagrad on the logistic loss. ``terms`` are the distinct terms of each text, ``rows`` their texts, ascending; ``told`` is the
+    evidence of every term."""
+    size = len(told)
     rate = float(labels.mean()) if len(labels) else 0.5
     rate = min(max(rate, 1e-3), 1 - 1e-3)
-    n = len(chosen)
     rng = np.random.default_rng(seed)
-    machine = FactorizationMachine(float(np.log(rate / (1 - rate))), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS)), names[chosen])
-    if not n:
-        return machine
-    where, found = machine.features(rows, terms)
-    cuts = np.searchsorted(where, np.arange(len(labels) + 1))
-    texts = [found[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    sum_w, sum_v, sum_b = np.full(n, 1e-6), np.full((n, FACTORS), 1e-6), 1e-6
+    bias, weights, factors = float(np.log(rate / (1 - rate))), np.zeros(size), rng.normal(0, 0.01, (size, FACTORS))
+    cuts = np.searchsorted(rows, np.arange(len(labels) + 1))
+    texts = [terms[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    sum_w, sum_v, sum_b = np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
     for _ in range(EPOCHS):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             picked = order[at:at + BATCH]
-            sizes = np.array([len(texts[i]) for i in picked])
-            where = np.repeat(np.arange(len(picked)), sizes)
+            where = np.repeat(np.arange(len(picked)), [len(texts[i]) for i in picked])
             features = np.concatenate([texts[i] for i in picked])
-            if not len(features):
-                continue
-            raw, sums = machine._raw(where, features, len(picked))
+            x = told[features]
+            scaled = factors[features] * x[:, None]
+            raw, sums = _raw(bias, weights[features] * x, scaled, where, len(picked))
             error = _sigmoid(raw) - labels[picked]
             used, slot = np.unique(features, return_inverse=True)
             # gradients of the features in this batch, per row of the batch
-            step = error[where] / len(picked)
-            grad_w = np.bincount(slot, step, len(used)) + DECAY * machine.weights[used]
-            pull = step[:, None] * (sums[where] - machine.factors[features])
-            grad_v = np.stack([np.bincount(slot, pull[:, f], len(used)) for f in range(FACTORS)], 1) + DECAY * machine.factors[used]
+            step = error[where] / len(picked) * x
+            grad_w = np.bincount(slot, step, len(used)) + DECAY * weights[used]
+            pull = step[:, None] * (sums[where] - scaled)
+            grad_v = np.stack([np.bincount(slot, pull[:, f], len(used)) for f in range(FACTORS)], 1) + DECAY * factors[used]
             sum_w[used] += grad_w ** 2
             sum_v[used] += grad_v ** 2
             grad_b = float(error.mean())
             sum_b += grad_b ** 2
-            machine.weights[used] -= RATE * grad_w / np.sqrt(sum_w[used])
-            machine.factors[used] -= 0.5 * RATE * grad_v / np.sqrt(sum_v[used])
-            machine.bias -= RATE * grad_b / np.sqrt(sum_b)
-    return machine
+            weights[used] -= RATE * grad_w / np.sqrt(sum_w[used])
+            factors[used] -= 0.5 * RATE * grad_v / np.sqrt(sum_v[used])
+            bias -= RATE * grad_b / np.sqrt(sum_b)
+    return FactorizationMachine(bias, (weights * told).astype(np.float32), (factors * told[:, None]).astype(np.float32))
 
 
 def _terms(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -128,33 +115,46 @@ def _emit_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, rows, terms in _terms(batch.column(0)):
             offsets = np.searchsorted(rows, np.arange(last - first + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(terms))
-            yield pa.RecordBatch.from_arrays([lists, batch.column(1).slice(first, last - first)], ["terms", "toxic"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(terms.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([lists, *(batch.column(i).slice(first, last - first) for i in (1, 2))], ["terms", "toxic", "rank"])
 
 
 def is_held_out(doc_id) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> FactorizationMachine:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_terms: int = TRAIN_TERMS) -> FactorizationMachine:
     """A model from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``), without the held-out rows.
 
-    Fitted on up to ``train_rows`` labelled rows, so that what comes to the driver is bounded: the distinct
-    hashed terms of those rows, never their texts. Rows with a null label or id are not used. Without any labelled
-    row the model says 0.5.
+    Fitted on up to ``train_rows`` labelled rows, and of these, in the order of their hashes, on as many as have ``train_terms`` distinct terms
+    together, so that what comes to the driver is bounded: numbers of terms, never texts. What terms tell is counted on
+    Spark, over all of the rows. Rows with a null label or id are not used. Without any labelled row the model says 0.5.
     """
     ship_package(docs.sparkSession)
     chosen = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    table = sample.mapInArrow(_emit_terms, "terms array<bigint>, toxic int").toArrow()
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.xxhash64("doc_id").alias("rank"))
+    sample = pin(sample.mapInArrow(_emit_terms, "terms array<int>, toxic int, rank bigint"), "toxicity-terms")
+    counted = sample.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k")).toArrow()
+    n, k = np.zeros(1 << TERM_BITS), np.zeros(1 << TERM_BITS)
+    for counts, name in ((n, "n"), (k, "k")):
+        counts[counted.column("term").to_numpy()] = counted.column(name).to_numpy()
+    rows, marked = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    told = evidence(n, k, max(rows, 1), marked)
+    sizes = sorted(map(tuple, sample.select("rank", F.size("terms")).collect()))
+    fits = np.cumsum([size for _, size in sizes]) <= train_terms
+    if len(sizes) and not fits.all():
+        # rows of one id stay or go together
+        sample = sample.where(F.col("rank") < sizes[int(np.argmin(fits))][0])
+    table = sample.select("terms", "toxic").toArrow()
     texts = [np.asarray(x.values) for x in table.column("terms")]
     marks = table.column("toxic").to_numpy().astype(float)
     # the rows come in no fixed order, and the fit depends on it
     order = sorted(range(len(texts)), key=lambda i: (texts[i].tobytes(), marks[i]))
     rows = np.repeat(np.arange(len(texts)), [len(texts[i]) for i in order])
-    return fit(rows, np.concatenate([np.empty(0, np.int64), *[texts[i] for i in order]]), marks[order])
+    return fit(rows, np.concatenate([np.empty(0, np.int32), *[texts[i] for i in order]]), marks[order], told)
 
 
 def score_toxicity(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
@@ -176,7 +176,11 @@ def score_toxicity(docs: DataFrame, machine: FactorizationMachine) -> DataFrame:
 
 
 def rate_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs``, by a model fitted on ``labels``."""
+    """``doc_id, held_out, score, predicted`` of every row of ``docs`` (``doc_id, text``), by a model fitted on ``labels``.
+
+    Null and empty texts score by the model's bias; very long texts are scored whole. Repeated rows have the same score, and count as often as
+    they come in the fit; of several labels of an id the larger counts. Extra columns are not read. An empty table has no rows.
+    """
     scored = score_toxicity(docs, fit_toxicity(docs, labels))
     return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
