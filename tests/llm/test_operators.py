@@ -406,13 +406,27 @@ def test_links_behind_two_popular_texts(spark):
     assert by_id(near.near_components(spark.createDataFrame(texts, "doc_id bigint, text string"), 1)) == want
 
 
-def test_a_bucket_is_finished_in_any_number_of_slices(spark, monkeypatch):
-    monkeypatch.setattr(near, "SLICE_COMPARISONS", 50)
+def test_a_bucket_is_finished_in_any_number_of_tiles(spark, monkeypatch):
+    monkeypatch.setattr(near, "TILE_ROWS", 5)
     passage = [f"c{i}" for i in range(100)]
     texts = [(d, " ".join([*passage, *(f"o{d}x{k}" for k in range(14 if d < 20 else 12))])) for d in range(24)]
     assert by_id(near.near_components(spark.createDataFrame(texts, "doc_id bigint, text string"), 1)) == components_by_hand(texts, 1)
 
 
+def test_rows_of_tiles(spark):
+    n = 10_000
+    grouped = spark.range(n).selectExpr("1L AS bucket", "id", "id AS root", "0L AS top", f"{n}L AS n", f"{n - 1}L AS n_out", f"{n * 20}L AS volume")
+    tiles = near.tile_members(grouped)
+    assert tiles.count() <= 1.05 * n * n / 1024
+    sizes = tiles.groupBy("slice", "guest").count().agg(F.max("count")).first()[0]
+    assert sizes < 1.2 * near.TILE_ROWS
+    # every guest meets every resident in one tile
+    few = grouped.where("id < 40")
+    met = near.tile_members(few.withColumn("n", F.lit(9000)).withColumn("n_out", F.lit(5000)))
+    pairs = met.where("guest = 1").alias("g").join(met.where("guest = 0").alias("r"), ["bucket", "slice"]).groupBy("g.id", "r.id").count()
+    assert pairs.count() == 39 * 40 and pairs.agg(F.max("count")).first()[0] == 1
+
+
 # ---- pipeline -------------------------------------------------------------------------------
 
 def test_pipeline_by_hand(spark, tmp_path):
@@ -444,6 +458,21 @@ def test_pipeline_by_hand(spark, tmp_path):
     assert got == want
 
 
+def test_columns_of_any_name_go_along(spark):
+    names = ["_fp", "_FP2", "_copies", "_mix_source", "_gone", "_out", "_text", "_row", "_null", "_times", "_limit", "_copy", "a.b", "__x"]
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "the cat and the dog are in the house of the man", "en", "s"), (2, "the cat and the dog are in the house of the man", "en", "s"),
+            (3, long, "en", None), (4, long + " more", "en", "t"), (5, None, None, "s")]
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], "doc_id bigint, text string, lang string, source string, "
+                                 + ", ".join(f"`{n}` int" for n in names))
+    for keep, left in ((exact.drop_duplicates, {2, 3, 4, 5}), (near.keep_one_of_each, {1, 3, 5}), (mixing.mix_documents, None), (language.keep_identified, None)):
+        got = keep(docs)
+        found = got.collect()
+        assert got.columns == docs.columns and found
+        assert all(tuple(r)[4:] == tuple(range(len(names))) for r in found)
+        assert left is None or {r.doc_id for r in found} == left
+
+
 def test_pipeline(spark, odd, tmp_path):
     import corpus_pipeline
 

@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordkin.llm.kernels import ship_package
+from wordkin.llm.kernels import own_prefix, ship_package
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.storage import pin
 
 #: rows whose fingerprints make up one packet
 CHUNK_ROWS = 1 << 16
+#: rows of a table for each owner, at most about
+OWNER_ROWS = 1 << 20
 
 _U = np.uint64
 
@@ -119,7 +121,9 @@ def suspect_fingerprints(prints: DataFrame, owners: int | None = None) -> DataFr
     """``fp`` of every 64-bit fingerprint that occurs in more than one row of ``prints`` (``fp``)."""
     spark = prints.sparkSession
     ship_package(spark)
-    owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if owners is None:
+        # what one owner gets at a time does not grow with the table
+        owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-prints.count() // OWNER_ROWS))
     packets = pin(prints.select("fp").mapInArrow(
         _packets(owners), "chunk string, again binary, sent array<struct<owner int, blob binary>>"), "fingerprint-packets")
     # an owner gets an equal share of the hash range, and a fingerprint once per chunk at most
@@ -164,15 +168,14 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 
     The dropped ids come from ``equal_texts``. Repeated rows (one ``doc_id`` and text) stay once.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text, names, own = F.coalesce(F.col("text"), F.lit("")), docs.columns, own_prefix(docs)
+    fp, was_null = f"{own}fp", f"{own}null"
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("fp"))
-    suspects = broadcast_if_small(pin(suspect_fingerprints(rows), "suspects"))
-    marked = docs.withColumn("_fp", F.xxhash64(text))
-    names = docs.columns
-    several = marked.join(suspects.withColumnRenamed("fp", "_fp"), "_fp", "left_semi")
-    alone = marked.join(suspects.withColumnRenamed("fp", "_fp"), "_fp", "left_anti")
-    others = [c for c in names if c not in ("text",)]
-    best = several.groupBy("_fp", text.alias("_text")).agg(
-        F.max_by(F.struct(*others, F.col("text").isNull().alias("_null")), F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("_row"))
-    kept = best.select(*[F.when(~F.col("_row._null"), F.col("_text")).alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in names])
-    return alone.select(*names).unionByName(kept)
+    suspects = broadcast_if_small(pin(suspect_fingerprints(rows), "suspects")).withColumnRenamed("fp", fp)
+    marked = docs.withColumn(fp, F.xxhash64(text))
+    others = [F.col(f"`{c}`") for c in names if c != "text"]
+    # a struct of all columns but the text, which is the key
+    best = marked.join(suspects, fp, "left_semi").groupBy(fp, text.alias("_text")).agg(
+        F.max_by(F.struct(*others, F.col("text").isNull().alias(was_null)), F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("_row"))
+    kept = best.select(*[F.when(~F.col("_row")[was_null], F.col("_text")).alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in names])
+    return marked.join(suspects, fp, "left_anti").select(*[F.col(f"`{c}`") for c in names]).unionByName(kept)

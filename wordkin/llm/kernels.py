@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _U = np.uint64
 
@@ -30,6 +30,14 @@ def ship_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH") or os.environ.get("PYTHONPATH")) if x)
 
 
+def own_prefix(df: DataFrame) -> str:
+    """What the columns begin with that an operator adds to ``df`` for a while: no column of ``df`` does."""
+    prefix = "_"
+    while any(name.lower().startswith(prefix) for name in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every bit over all others."""
     x = x ^ (x >> _U(30))

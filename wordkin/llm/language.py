@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordkin.llm.kernels import PIECE_BYTES, row_groups, ship_package, text_bytes
+from wordkin.llm.kernels import PIECE_BYTES, own_prefix, row_groups, ship_package, text_bytes
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.storage import pin
 
@@ -187,12 +187,13 @@ def identify_documents(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with an accepted language, all columns kept.
 
-    A ``doc_id`` goes when all its rows are rejected.
+    A ``doc_id`` goes when all its rows are rejected. Extra columns go along, whatever their names.
     """
+    gone = f"{own_prefix(docs)}gone"
     judged = identify_documents(docs)
-    out = judged.groupBy("doc_id").agg(F.max("accepted").alias("some")).where(~F.col("some")).select(F.col("doc_id").alias("_out"))
+    out = judged.groupBy("doc_id").agg(F.max("accepted").alias("some")).where(~F.col("some")).select(F.col("doc_id").alias(gone))
     out = broadcast_if_small(pin(out, "language-rejected"))
-    return docs.join(out, docs["doc_id"].eqNullSafe(F.col("_out")), "left_anti")
+    return docs.join(out, docs["doc_id"].eqNullSafe(F.col(gone)), "left_anti")
 
 
 def page_text(html: Column) -> Column:

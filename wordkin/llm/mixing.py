@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wordkin.llm.kernels import own_prefix
 from wordkin.operators.skew import broadcast_if_small, number_within
 from wordkin.storage import pin
 
@@ -137,8 +138,9 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it takes them, with the columns of ``docs``.
 
     The word counts are computed in one pass for the thresholds and once more here, so that no text is
-    shuffled. A document without words is kept when its source or its hash lets it.
+    shuffled. A document without words is kept when its source or its hash lets it. Extra columns go along, whatever their names.
     """
+    own = own_prefix(docs)
     rows = pin(docs.select("source", word_count(F.col("text")).alias("size"), document_hash(F.col("doc_id")).alias("h")), "document-sizes")
     targets = pin(source_targets(rows), "source-targets")
     times = F.when(F.col("source_size") == 0, F.lit(1)).otherwise(F.floor(F.col("target") / F.col("source_size"))).cast("int")
@@ -146,9 +148,10 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     limits = hash_thresholds(rows, budgets.where(F.col("budget") > 0))
     plan = targets.select("source", times.alias("_times")).alias("t").join(
         limits.alias("l"), F.col("t.source").eqNullSafe(F.col("l.source")), "left").select(
-        F.col("t.source").alias("_mix_source"), "_times", F.coalesce("limit", F.lit(0)).alias("_limit"))
+        F.col("t.source").alias(f"{own}source"), F.col("_times").alias(f"{own}times"), F.coalesce("limit", F.lit(0)).alias(f"{own}limit"))
     plan = broadcast_if_small(pin(plan, "mix-plan"))
-    names = docs.columns
-    copies = F.col("_times") + F.when(document_hash(F.col("doc_id")) < F.col("_limit"), 1).otherwise(0)
-    taken = docs.join(plan, docs["source"].eqNullSafe(F.col("_mix_source"))).withColumn("_copies", copies)
-    return taken.where(F.col("_copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    copies = F.col(f"{own}times") + F.when(document_hash(F.col("doc_id")) < F.col(f"{own}limit"), 1).otherwise(0)
+    taken = docs.join(plan, docs["source"].eqNullSafe(F.col(f"{own}source"))).withColumn(f"{own}copies", copies.cast("int"))
+    taken = taken.where(F.col(f"{own}copies") > 0)
+    return taken.withColumn(f"{own}copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}copies")))).select(*names)

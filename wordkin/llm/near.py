@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordkin.llm.kernels import mix64, seeded, ship_package, words
+from wordkin.llm.kernels import mix64, own_prefix, seeded, ship_package, words
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.storage import pin
 
@@ -31,8 +31,8 @@ TRIES = 64
 SLICE_PAIRS = 512
 #: rounds of stars at most before what is left of a bucket is compared member by member
 STAR_ROUNDS = 3
-#: comparisons and resident shingles of a task that finishes a bucket, before the bucket is split
-SLICE_COMPARISONS, SLICE_SHINGLES = 1 << 20, 1 << 20
+#: members on either side of a tile of a bucket that is finished, and shingles of its residents: a bucket with more has several tiles
+TILE_ROWS, SLICE_SHINGLES = 2048, 1 << 20
 
 _U = np.uint64
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -265,18 +265,30 @@ def finish_buckets(grouped: DataFrame, sets: DataFrame, percent: int = PERCENT)
     """Links ``a, b`` that join all components that similar members of a bucket lie in.
 
     ``grouped`` (``bucket, id, n_shingles, root, top, n, n_out, volume``) has the members of open buckets. Members outside the component
-    ``top`` are compared with all members of the bucket, slice by slice; a pair within one component is left out.
+    ``top`` are compared with all members of the bucket, tile by tile: a tile has about ``TILE_ROWS`` of the one and of the other, so what a
+    task holds does not grow with the bucket. A pair within one component is left out.
     """
-    slices = F.greatest(F.lit(1.0), F.ceil(F.col("n") * F.col("n_out") / SLICE_COMPARISONS), F.ceil(F.col("volume") / SLICE_SHINGLES)).cast("int")
-    sliced = grouped.withColumn("slices", slices)
-    residents = sliced.select("bucket", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int").alias("slice"), F.lit(0).alias("guest"), "id", "root")
-    guests = sliced.where("root <> top").select(
-        "bucket", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(1).alias("guest"), "id", "root")
-    rows = residents.unionByName(guests).join(sets, "id").select("bucket", "slice", "guest", "id", "root", "shingles")
+    rows = tile_members(grouped).join(sets, "id").select("bucket", "slice", "guest", "id", "root", "shingles")
     rows = rows.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "guest")
     return rows.mapInArrow(_compare(percent), "a bigint, b bigint").distinct()
 
 
+def tile_members(grouped: DataFrame) -> DataFrame:
+    """``bucket, slice, guest, id, root``: each member of a bucket in the tiles of its row, or as a guest in those of its column.
+
+    For ``n`` members that are all apart these are ``n * n / 1024`` rows, not ``n * n``.
+    """
+    rows_of = lambda n: F.greatest(F.lit(1.0), F.ceil(n / TILE_ROWS))
+    across = F.greatest(rows_of(F.col("n")), F.ceil(F.col("volume") / SLICE_SHINGLES)).cast("int")
+    tiled = grouped.withColumn("across", across).withColumn("down", rows_of(F.col("n_out")).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    one_of = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    residents = tiled.select("bucket", one_of(F.col("across")).alias("x"), every(F.col("down")).alias("y"), F.lit(0).alias("guest"), "id", "root")
+    guests = tiled.where("root <> top").select("bucket", every(F.col("across")).alias("x"), one_of(F.col("down")).alias("y"), F.lit(1).alias("guest"), "id", "root")
+    tile = F.col("x").cast("bigint") * (1 << 31) + F.col("y")
+    return residents.unionByName(guests).select("bucket", tile.alias("slice"), "guest", "id", "root")
+
+
 def smallest_reachable(links: DataFrame) -> DataFrame:
     """``id, root`` of every id in ``links`` (``a, b``): the smallest id of its component.
 
@@ -367,8 +379,8 @@ def near_components(docs: DataFrame, size: int, percent: int = PERCENT) -> DataF
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near copies of a document with a smaller id; all columns kept.
 
-    Rows without an id stay.
+    Rows without an id stay. Extra columns go along, whatever their names.
     """
-    gone = near_components(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    gone = broadcast_if_small(pin(gone, "near-copies"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = f"{own_prefix(docs)}gone"
+    copies = near_components(docs, size, percent).where(~F.col("kept")).select(F.col("doc_id").alias(gone))
+    return docs.join(broadcast_if_small(pin(copies, "near-copies")), docs["doc_id"] == F.col(gone), "left_anti")
