@@ -39,6 +39,7 @@ def html_block(link: Column, color: Column, entities: Column, sarcastic: Column,
     """One review of the report, without a closing line break. Null parts print as empty."""
     guard = escape_html if escape else (lambda text: text)
     link = F.coalesce(guard(link), F.lit(""))
+    # fixed values: the tags and words of a block
     return F.concat(
         F.lit('<div style="color: '), F.coalesce(css_color(color), F.lit("")), F.lit(';">\n'),
         F.lit('<p>Link: <a href="'), link, F.lit('">'), link, F.lit("</a></p>\n"),

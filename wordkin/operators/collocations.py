@@ -1,7 +1,7 @@
 """Marginals, scores, thresholds and ranking of decade pair counts (``decade, w1, w2, c``).
 
 Years have four digits, so there are at most 1000 decades: tables with one row per decade are
-broadcast on that ground.
+broadcast on that ground, after a check of their size.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wordkin.functions import scores
 from wordkin.operators.ngrams import decade_label
-from wordkin.operators.skew import hot_limit, join_totals, number_within
+from wordkin.operators.skew import broadcast_if_small, hot_limit, join_totals, number_within
 from wordkin.storage import pin
 
 MAX_DECADES = 1000
@@ -58,8 +58,8 @@ def join_right_counts(pairs: DataFrame, right: DataFrame, limit: float | None, k
 
 
 def join_decades(rows: DataFrame, by_decade: DataFrame) -> DataFrame:
-    """Add per-decade figures; a decade without figures is left out."""
-    return rows.join(F.broadcast(by_decade), "decade")
+    """Add per-decade figures, a written table; a decade without figures is left out."""
+    return rows.join(broadcast_if_small(by_decade), "decade")
 
 
 def score_pairs(pairs: DataFrame, left: DataFrame | None = None, right: DataFrame | None = None,
@@ -76,7 +76,7 @@ def score_pairs(pairs: DataFrame, left: DataFrame | None = None, right: DataFram
     right = kept(right_marginal(counted), "right-marginal") if right is None else right
     joined = join_left_counts(counted, left, limit)
     joined = join_right_counts(joined, right, limit)
-    joined = join_decades(joined, corpus_size(counted) if sizes is None else sizes)
+    joined = join_decades(joined, pin(corpus_size(counted), "sizes") if sizes is None else sizes)
     figures = [F.col(name) for name in ("c", "c1", "c2", "n")]
     return joined.select("decade", "w1", "w2", *figures,
                          scores.pmi(*figures).alias("pmi"), scores.npmi(*figures).alias("npmi"))

@@ -36,10 +36,11 @@ def annotate_reviews(reviews: DataFrame, keys: Sequence[str], lexicon: DataFrame
     """Per review: ``keys``, the ``carry`` columns, ``sentiment`` (with a lexicon) and ``entities``
     (with a gazetteer).
 
-    One scan and one shuffle. A review becomes an anchor row, which carries its columns, and a row per
+    One scan and one shuffle, while the dictionary can be broadcast. A review becomes an anchor row, which carries its columns, and a row per
     word; words outside the dictionary are gone before the shuffle, and a review's rows lie together,
     so the partial aggregation leaves about one row per review to send. The dictionary is broadcast up
-    to ``max_bytes``; beyond, the words are shuffled to it, with skew splitting for frequent ones.
+    to ``max_bytes``; beyond, the words are shuffled to it, with skew splitting for frequent ones, and the reviews are read a second
+    time for their own rows, which stay out of that join.
     """
     kept = F.struct(*[F.col(name) for name in carry], F.lit(True).alias("_present"))
     reviews = reviews.withColumn("_sentence", tx.longest_sentence(F.col("text")))

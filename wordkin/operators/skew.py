@@ -77,7 +77,7 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence, name: st
     ``group`` and ``order`` together must identify a row. Rows are range-partitioned by both, so a
     large group spans many tasks; positions come from the running ids of the sorted partitions
     and one small row per (group, partition). Give ``max_groups`` where the number of groups is
-    bounded: the small rows are then broadcast.
+    bounded: the small rows are then broadcast, once their size is checked.
     """
     placed = pin(
         df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
@@ -89,7 +89,7 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence, name: st
     runs = runs.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     if max_groups is not None:
         # sorted partitions: at most one run per partition plus one per group
-        runs = F.broadcast(runs)
+        runs = broadcast_if_small(pin(runs, f"{label}-runs"))
     position = F.col("_before") + F.col("_id") - F.col("_first") + 1
     return (placed.join(runs, [*group, "_part"])
             .withColumn(name, position)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import re
 
-from wordkin.functions.reviews import COLORS, ENTITY_TYPES, HTML_FOOTER, HTML_HEADER
 from wordkin.suite.fixtures import GAZETTEER, LEXICON, MIN_NPMI, MIN_REL
 
+# fixed values, written out once more: what the reports must hold
+COLORS = ["DARK_RED", "RED", "BLACK", "LIGHT_GREEN", "DARK_GREEN"]
+ENTITY_TYPES = ["LOCATION", "ORGANIZATION", "PERSON"]
+HTML_HEADER = "<html>\n<head>\n</head>\n<body>"
+HTML_FOOTER = "</body>\n</html>"
+
 
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)

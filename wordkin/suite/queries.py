@@ -48,7 +48,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pinned_scores(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     scored = pin(_scored(spark, sf), "scored")
-    return scored, co.score_totals(scored)
+    return scored, pin(co.score_totals(scored), "totals")
 
 
 def ngram_parse(spark, sf):
@@ -125,8 +125,7 @@ def npmi(spark, sf):
 def npmi_sum(spark, sf):
     scored, totals = _pinned_scores(spark, sf)
     exact = co.score_totals(scored, "exact").withColumnRenamed("s", "s_exact")
-    # years have four digits: a row per decade, at most 1000
-    return totals.join(F.broadcast(exact), "decade").select("decade", "s", "s_exact")
+    return totals.join(exact, "decade").select("decade", "s", "s_exact")
 
 
 def filter_abs(spark, sf):
