@@ -122,7 +122,8 @@ def identify_language(rows: DataFrame, model: LanguageModel, key: str = "doc_id"
 
     ``declared`` is a language tag such as a page's markup has, of which the primary part counts; ``host`` gives
     the address suffix and the host prior. A missing value is a value like any other. A text without letters is
-    ``und`` and not accepted. Repeated rows are judged alike.
+    ``und`` and not accepted; of equally likely languages the first by name is taken. Null and empty texts have no letters, long ones are
+    read whole. Repeated rows are judged alike and count each in the priors. Further columns are not read; an empty table has no rows.
     """
     ship_package(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -197,8 +198,11 @@ def keep_identified(docs: DataFrame) -> DataFrame:
 
 
 def page_text(html: Column) -> Column:
-    """The text of a page, without scripts, styles, comments and tags."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
+    """The text of a page, without scripts, styles, comments and tags. A script, style or comment that is never closed goes to the end.
+
+    No part of a page is looked at once per tag, so the work goes with its length.
+    """
+    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>", " ")
     return F.coalesce(bare, F.lit(""))
 
 
