@@ -91,6 +91,15 @@ def test_a_batch_is_parsed_once(spark, tmp_path, lists, monkeypatch):
     assert len(calls) == 1 and "line STRING" not in str(srv.read_published(spark, out).schema)
 
 
+@pytest.fixture
+def few_partitions(spark):
+    """A state store of two partitions: each has Python workers of its own."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 REQUESTS = "client_key long, file_key long, ts timestamp"
 
 
@@ -103,7 +112,7 @@ def state_rows(spark, offsets, variable=None, operator=0):
     return (read.option("stateVarName", variable) if variable else read).load(offsets).collect()
 
 
-def test_requests_without_a_bound(spark):
+def test_requests_without_a_bound(spark, few_partitions):
     folder, out, offsets = (scratch_folder(spark, "req") for _ in range(3))
     for batch in ([(1, 1), (1, 1), (1, 2)], [(1, 1), (2, 1)]):
         deliver(spark, folder, batch, "client_key long, file_key long")
@@ -113,7 +122,7 @@ def test_requests_without_a_bound(spark):
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [(1, 1), (1, 2), (2, 1)]
 
 
-def test_requests_leave_the_state_when_their_span_is_over(spark):
+def test_requests_leave_the_state_when_their_span_is_over(spark, few_partitions):
     day = lambda d, h=0: datetime.datetime(2024, 1, 1 + d, h)
     folder, out, offsets = (scratch_folder(spark, "req") for _ in range(3))
     deliveries = [
@@ -147,7 +156,7 @@ def follow(spark, folder, out, offsets, **options):
     work.stream_files(stream, out, offsets, availableNow=True, **options).awaitTermination()
 
 
-def test_completeness_out_of_order_and_redelivered(spark):
+def test_completeness_out_of_order_and_redelivered(spark, few_partitions):
     folder, out, offsets = (scratch_folder(spark, "files") for _ in range(3))
     n = work.BITMAP_BITS + 3
     big = [("big", i, n) for i in range(1, n + 1)]
@@ -170,7 +179,7 @@ def test_completeness_out_of_order_and_redelivered(spark):
     assert {r.report for r in aside} == {"no fragment"} and len(aside) == 5
 
 
-def test_state_of_files_ends_by_a_timer(spark):
+def test_state_of_files_ends_by_a_timer(spark, few_partitions):
     folder, out, offsets = (scratch_folder(spark, "files") for _ in range(3))
     day = lambda d: datetime.datetime(2024, 1, 1 + d)
     schema = f"{FRAGMENTS}, at timestamp"
