@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
@@ -80,6 +81,18 @@ def requests_once_per_span(requests: DataFrame, arrival: str, span_seconds: int,
     return once.unionByName(late)
 
 
+@contextmanager
+def _rocks_db(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started meanwhile keep their state in RocksDB, which ``transformWithState`` needs, whatever the session has set."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stream_requests(requests: DataFrame, out_dir: str, checkpoint: str, arrival: str, span_seconds: int, delay: str,
                     **trigger) -> StreamingQuery:
     """Follow a stream of requests; ``commits.read_published`` reads its tables ``requests`` and, the late ones, ``late``."""
@@ -89,7 +102,8 @@ def stream_requests(requests: DataFrame, out_dir: str, checkpoint: str, arrival:
 
     once = requests_once_per_span(requests, arrival, span_seconds, delay)
     writer = once.writeStream.outputMode("append").foreachBatch(run).option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    with _rocks_db(requests.sparkSession):
+        return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def _in_two(batch: DataFrame, flag: str, without: str, having: str) -> dict[str, DataFrame]:
@@ -223,4 +237,5 @@ def stream_files(fragments: DataFrame, out_dir: str, checkpoint: str, arrival: s
             commits.publish(out_dir, batch_id, {**tables, "files": tables["files"].select("file_key", "fragments")})
 
     writer = file_reports(fragments, arrival, keep_ms).writeStream.outputMode("append").foreachBatch(run).option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    with _rocks_db(fragments.sparkSession):
+        return (writer.trigger(**trigger) if trigger else writer).start()
