@@ -64,6 +64,53 @@ def test_hot_keys_give_the_same_scores(spark):
     assert_same_scores(scores(co.score_pairs(data, rows_per_slice=10)), want)
 
 
+def as_records(data):
+    """Every pair in as many records as it occurs, and one of a zero count."""
+    rows = [(r.decade, r.w1, r.w2, 1) for r in data.collect() for _ in range(r.c)] + [(1900, "hot", "never", 0)]
+    return data.sparkSession.createDataFrame(rows, PAIRS).repartition(5)
+
+
+@pytest.mark.parametrize("rows_per_slice", [10, 100, 10 ** 6])
+def test_pairs_are_counted_from_records(spark, rows_per_slice):
+    data = pin(skewed(spark), "skewed")
+    want = by_hand([tuple(r) for r in data.select("decade", "w1", "w2", "c").collect()])
+    records = pin(as_records(data), "records")
+    counted = pin(co.count_pairs(records, rows_per_slice), "counted")
+    assert_same_scores(scores(co.score_counted(counted)), want)
+    assert [(r.w1, r.w2) for r in counted.where("c = 0").collect()] == [("hot", "never")]
+    found = find_collocations(records, -1.0, 1.0, rows_per_slice=rows_per_slice)
+    assert {(r.decade, r.w1, r.w2): pytest.approx(r.npmi) for r in found.collect()} == {
+        k: v[4] for k, v in want.items() if not v[0] == v[1] == v[2]}
+
+
+def test_words_that_are_null_count_and_have_no_score(spark):
+    data = pin(pairs(spark, (1900, None, "b", 5), (1900, "a", "b", 2), (1900, "a", None, 1), (1900, "d", "c", 3)), "pairs")
+    want = {(r.decade, r.w1, r.w2): tuple(r) for r in co.score_pairs(data).collect()}
+    for slice_rows in (1, 10 ** 6):
+        counted = pin(co.count_pairs(data, slice_rows), "counted")
+        assert {(r.decade, r.w1, r.w2): tuple(r) for r in co.score_counted(counted).collect()} == want
+    assert want[1900, "a", "b"][3:7] == (2, 3, 7, 22)
+
+
+def shuffles(df):
+    """Shuffles of the rows of a plan that is not adapted while it runs."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_pairs_and_both_word_totals_take_two_shuffles(spark):
+    records = pin(as_records(skewed(spark)), "records")
+    assert shuffles(co.count_pairs(records)) == 2
+    # and hot words are dealt by slices
+    hot = co.count_left(records, co.find_crowded(records, 10), 10)
+    assert "_slice" in hot._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hot_rows_are_spread(spark):
     data = pin(skewed(spark), "skewed")
     joined = co.join_left_counts(data, co.left_marginal(data), hot_limit(data, 10))

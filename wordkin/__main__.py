@@ -11,7 +11,7 @@ from wordkin.plans.reviews import run_reviews
 from wordkin.session import build_session
 from wordkin.sinks.tables import write_collocations
 from wordkin.sources.ngrams import read_sequence_lines, read_stop_words, read_text_lines
-from wordkin.storage import files_fingerprint, is_complete, scratch_folder
+from wordkin.storage import files_fingerprint, is_complete, pin, scratch_folder
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -55,7 +55,8 @@ def main(argv: list[str] | None = None) -> None:
         def observe(table, step):
             if step in ("lines", "valid", "kept"):
                 table, seen[step] = observe_rows(table, step)
-            return table
+            # the corpus is parsed once; its records are read twice
+            return pin(table, "kept", codec="zstd") if step == "kept" and not begun else table
 
         begun = is_complete(spark, f"{work_dir}/pairs")
         valid = observe(parse_ngrams(observe(read(spark, options.input), "lines")), "valid")
