@@ -119,3 +119,17 @@ def test_a_long_stop_list_is_filtered_first(spark, tmp_path):
     assert (True, False) not in flags
     wrong = marked.where("_maybe_w1").select("w1").distinct().collect()
     assert len([r for r in wrong if r.w1 not in listed]) < 0.1 * 4000
+
+
+def test_sequence_files_are_written_without_python(spark, tmp_path, monkeypatch):
+    from pyspark import RDD
+
+    from wordkin.sinks.tables import write_sequence_lines
+
+    values = ["a b\t1999\t7\t1", "", "two\nlines", "ü" * 300]
+    keyed = spark.createDataFrame([((1 << 33) + i, v) for i, v in enumerate(values)], "k long, v string")
+    monkeypatch.setattr(RDD, "saveAsNewAPIHadoopFile", None)
+    write_sequence_lines(keyed, str(tmp_path / "s"))
+    assert rows(src.read_sequence_lines(spark, str(tmp_path / "s"))) == sorted((v,) for v in values)
+    # a reader of Hadoop's own finds keys of 64 bits
+    assert sorted(spark.sparkContext.sequenceFile(str(tmp_path / "s")).collect()) == [((1 << 33) + i, v) for i, v in enumerate(values)]
