@@ -111,6 +111,18 @@ def test_pairs_and_both_word_totals_take_two_shuffles(spark):
     assert "_slice" in hot._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("rows_per_slice", [10, 300, 10 ** 6])
+def test_decade_folders_are_filled_by_one_shuffle(spark, tmp_path, rows_per_slice):
+    data = pin(skewed(spark), "skewed")
+    records = pin(as_records(data).where("c > 0"), "records")
+    sink.write_decade_pairs(records, str(tmp_path / "d"), rows_per_slice=rows_per_slice)
+    found = spark.read.schema("w1 string, w2 string, c bigint, decade int").parquet(str(tmp_path / "d")).select(data.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, data.collect()))
+    files = [f for f in os.listdir(tmp_path / "d" / "decade=1900") if f.endswith(".parquet")]
+    assert len(files) == 1 if rows_per_slice == 10 ** 6 else files
+    assert shuffles(co.decade_slices(records)) == 1
+
+
 def test_hot_rows_are_spread(spark):
     data = pin(skewed(spark), "skewed")
     joined = co.join_left_counts(data, co.left_marginal(data), hot_limit(data, 10))
