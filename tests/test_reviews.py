@@ -299,3 +299,10 @@ def test_places_give_the_input_order(spark, tmp_path, lexicon, gazetteer):
     path.write_text("".join(product(str(i), "x.", "y.") + "\n" for i in range(200)))
     done = process_files(spark, str(path), lexicon, gazetteer).orderBy("file", "block", "line_id", "pos").collect()
     assert [r.link for r in done] == [f"l-{i}-{k}" for i in range(200) for k in range(2)]
+
+
+def test_many_small_splits_are_few_tasks(spark):
+    from wordkin.suite import queries
+
+    assert queries._tasks_for(spark, 10) == spark.sparkContext.defaultParallelism
+    assert queries._tasks_for(spark, 1_000_000) == 245
