@@ -195,3 +195,21 @@ def test_state_of_files_ends_by_a_timer(spark, few_partitions):
     assert sorted(r.file_key for r in commits.read_published(spark, out, "files").collect()) == ["done", "done", "slow"]
     given_up = commits.read_published(spark, out, "aside").where("report = 'given up'").collect()
     assert sorted((r.file_key, r.fragments) for r in given_up) == [("late", 2), ("open", 2)]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from wordkin.sources import products as psrc
+
+    for i in range(60):
+        (tmp_path / f"in{i}").mkdir()
+        (tmp_path / f"in{i}" / "file").write_text('{"title":"t","reviews":[]}\n')
+    tracker, key = spark.sparkContext.statusTracker(), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        lines = psrc.read_lines(spark, [str(tmp_path / f"in{i}") for i in range(60)])
+        tasks = [tracker.getStageInfo(stage).numTasks for job in tracker.getJobIdsForGroup("listing") for stage in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert lines.count() == 60 and spark.conf.get(key) == before

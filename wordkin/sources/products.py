@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from wordkin.functions.text import BLANKS
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.schemas import CORRUPT, PRODUCT_OR_CORRUPT
-from wordkin.storage import pin
+from wordkin.storage import few_listing_tasks, pin
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of all files below the paths, at any depth, with their place: ``line, file, block, line_id``. Order by the
     last three for file order."""
-    text = spark.read.option("recursiveFileLookup", True).text(paths if isinstance(paths, str) else list(paths))
+    with few_listing_tasks(spark):
+        text = spark.read.option("recursiveFileLookup", True).text(paths if isinstance(paths, str) else list(paths))
     return text.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
                        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_id"))
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wordkin.operators.reviews import explode_reviews, process_reviews
 from wordkin.operators.skew import broadcast_if_small
 from wordkin.sources.products import decode_latin, files_not_utf8, good_products, parse_product_lines, quarantined_lines
-from wordkin.storage import pin
+from wordkin.storage import few_listing_tasks, pin
 from wordkin.streaming import commits
 
 PLACE = ["file", "block", "line_id"]
@@ -27,9 +27,6 @@ def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
     written once, as every batch reads them.
     """
     lexicon, gazetteer = pin(lexicon, "lexicon"), pin(gazetteer, "gazetteer")
-    arriving = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(in_dir)
-                .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-                        F.col("_metadata.file_block_start").alias("block")))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if commits.is_published(batch.sparkSession, out_dir, batch_id):
@@ -45,8 +42,12 @@ def stream_reviews(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
         done = process_reviews(explode_reviews(good_products(parsed), *PLACE), [*PLACE, "pos"], lexicon, gazetteer)
         commits.publish(out_dir, batch_id, {"quarantine": quarantined_lines(parsed), "processed": done}, probe)
 
-    writer = arriving.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    with few_listing_tasks(spark):
+        arriving = (spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(in_dir)
+                    .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                            F.col("_metadata.file_block_start").alias("block")))
+        writer = arriving.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def read_published(spark: SparkSession, out_dir: str) -> DataFrame:
