@@ -83,6 +83,31 @@ def test_pairs_are_counted_from_records(spark, rows_per_slice):
         k: v[4] for k, v in want.items() if not v[0] == v[1] == v[2]}
 
 
+@pytest.mark.parametrize("rows_per_slice", [10, 10 ** 6])
+def test_sums_of_words_come_with_the_pairs(spark, rows_per_slice):
+    odd = pairs(spark, (1900, None, "top", 5), (1900, "v1", None, 2), (1910, "l1", "r1", 0), (1990, "only", "zero", 0))
+    records = pin(as_records(skewed(spark)).unionAll(odd), "records")
+    told = co.survey(records, rows_per_slice)
+    assert told.rows == records.count() and (told.crowded is None) == (rows_per_slice == 10 ** 6)
+    assert sorted(map(tuple, told.sizes.collect())) == sorted(map(tuple, co.corpus_size(records.where("c > 0")).collect()))
+    counted = pin(co.count_and_sum(records, told, told.sizes, rows_per_slice), "counted")
+    assert counted.where("slice_sum is not null").isEmpty() == (rows_per_slice == 10 ** 6)
+    want = co.score_totals(co.score_counted(counted, told.sizes))
+    assert sorted(map(tuple, co.counted_totals(counted).collect())) == sorted(map(tuple, want.collect()))
+    plain = co.count_pairs(records, rows_per_slice)
+    assert sorted(map(repr, counted.select(plain.columns).collect())) == sorted(map(repr, plain.collect()))
+    # the words are not dealt again to be added up
+    assert shuffles(co.count_and_sum(records, co.survey(records), told.sizes)) == 2
+
+
+def test_tasks_grow_in_number_and_not_in_size(spark, monkeypatch):
+    records = pin(as_records(skewed(spark)), "records")
+    monkeypatch.setattr(co, "ROWS_PER_TASK", 20)
+    n_rows = records.count()
+    assert n_rows > 20 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert co.count_left(records, n_rows=n_rows).rdd.getNumPartitions() == -(-n_rows // 20)
+
+
 def test_words_that_are_null_count_and_have_no_score(spark):
     data = pin(pairs(spark, (1900, None, "b", 5), (1900, "a", "b", 2), (1900, "a", None, 1), (1900, "d", "c", 3)), "pairs")
     want = {(r.decade, r.w1, r.w2): tuple(r) for r in co.score_pairs(data).collect()}
