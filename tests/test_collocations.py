@@ -100,6 +100,17 @@ def test_sums_of_words_come_with_the_pairs(spark, rows_per_slice):
     assert shuffles(co.count_and_sum(records, co.survey(records), told.sizes)) == 2
 
 
+def test_words_travel_in_one_column_and_come_back(spark):
+    words = [None, "", "a", "1:", ":;", "-1;b", "é😀", " x\ty", "12"]
+    rows = [(1900 + 10 * (i % 2), a, b, 1) for a in words for i, b in enumerate(words)]
+    data = pairs(spark, *rows)
+    for side in (1, 2):
+        dealt = co._deal_by_word(data, 0, side)
+        assert "_words" in dealt._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(repr, map(tuple, dealt.select(data.columns).collect()))) == sorted(map(repr, rows))
+    assert shuffles(co.count_pairs(data)) == 2
+
+
 def test_tasks_grow_in_number_and_not_in_size(spark, monkeypatch):
     records = pin(as_records(skewed(spark)), "records")
     monkeypatch.setattr(co, "ROWS_PER_TASK", 20)
