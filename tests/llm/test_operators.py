@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +118,19 @@ def test_mix(odd, none):
 
 # ---- BPE ------------------------------------------------------------------------------------
 
+def test_bpe_leaves_nothing_in_the_workers(spark, odd):
+    path, classes = bpe.tokenizer_path(), bpe.character_classes()
+
+    def held(batches):
+        for batch in batches:
+            model = bpe.load_bpe(path, classes)
+            kept = [model._cache, model._last, model._follows, *model._spines]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(map(len, kept))])], ["n"])
+
+    bpe.encode_documents(odd.repartition(32), path).write.format("noop").mode("overwrite").save()
+    assert spark.range(32, numPartitions=32).mapInArrow(held, "n bigint").agg(F.sum("n")).first()[0] == 0
+
+
 def test_bpe_as_the_library(spark, odd, none):
     from tokenizers import Tokenizer
 

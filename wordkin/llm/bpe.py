@@ -26,7 +26,7 @@ from wordkin.llm.kernels import ship_package
 
 #: characters that a slice of a long text has at least
 SLICE_CHARS = 1 << 16
-#: words whose encoding a worker remembers, and the longest such word
+#: words whose encoding a task remembers, and the longest such word
 CACHE_WORDS = 300_000
 CACHED_LENGTH = 64
 
@@ -125,6 +125,8 @@ class WordBpe:
         self._last: dict[str, str] = {}
         # tokens that the merges do build
         self.vocab = {t: i for t, i in vocab.items() if self._merge(self._symbols(t)) == [t]}
+        #: each of them once: what is remembered shares these strings
+        self._tokens = {t: t for t in self.vocab}
 
     def _merge(self, symbols: list[str]) -> list[str]:
         """The merge list applied to a short span, lowest rank first."""
@@ -191,15 +193,15 @@ class WordBpe:
 
     def stream_word(self, letters: str, emit_every: int = 256) -> Iterator[int]:
         """Ids of one word of byte letters, each as soon as no later letter can change it."""
-        vocab, reach, follows = self.vocab, self.lookahead, self._follows
+        known, reach, follows = self._tokens.get, self.lookahead, self._follows
         # of each prefix that is still open: its last token and where that begins
         last: dict[int, tuple[str, int]] = {0: ("", 0)}
         done, n = 0, len(letters)
         for end in range(1, n + 1):
             tail = _END if end == n else ""
             for begin in range(max(done, end - reach), end):
-                token = letters[begin:end] + tail
-                if token not in vocab:
+                token = known(letters[begin:end] + tail)
+                if token is None:
                     continue
                 if begin:
                     pair = (last[begin][0], token)
@@ -234,11 +236,11 @@ class WordBpe:
 
     def _last_token(self, prefix: str, letters: str) -> str:
         """The last token of the encoding of ``letters``; the encodings of shorter prefixes are remembered."""
-        vocab, tokens, follows = self.vocab, self._last, self._follows
+        known, tokens, follows = self._tokens.get, self._last, self._follows
         end = len(prefix)
         for begin in range(max(0, end - self.lookahead), end):
-            token = letters[begin:]
-            if token in vocab:
+            token = known(letters[begin:])
+            if token is not None:
                 if not begin:
                     return token
                 left = tokens[prefix[:begin]]
@@ -276,6 +278,11 @@ class WordBpe:
         ids = self._cache[word] = array("i", self._short_word(letters)).tobytes()
         return ids
 
+    def forget(self) -> None:
+        """Let go of all that was remembered of the words read so far."""
+        for held in (self._cache, self._last, self._follows, *self._spines):
+            held.clear()
+
     def _plain(self, text: str) -> bytes:
         get, word_ids = self._cache.get, self._word
         return b"".join([get(w) or word_ids(w) for w in self._cut(text)])
@@ -356,19 +363,23 @@ def encode_documents(docs: DataFrame, path: str | None = None, decode: bool = Fa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load_bpe(path or tokenizer_path(), classes)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = [bpe.encode(text or "") for text in part.column(1).to_pylist()]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))]
-                if decode:
-                    texts = []
-                    for x in ids:
-                        decoder = TextDecoder(bpe)
-                        texts.append(decoder.feed(x.tolist()) + decoder.finish())
-                    columns.append(pa.array(texts, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([part.schema.field(0), *kinds]))
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 1000):
+                    part = batch.slice(at, 1000)
+                    ids = [bpe.encode(text or "") for text in part.column(1).to_pylist()]
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                    columns = [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))]
+                    if decode:
+                        texts = []
+                        for x in ids:
+                            decoder = TextDecoder(bpe)
+                            texts.append(decoder.feed(x.tolist()) + decoder.finish())
+                        columns.append(pa.array(texts, pa.string()))
+                    yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([part.schema.field(0), *kinds]))
+        finally:
+            # the worker goes on to other tasks, which need its memory
+            bpe.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>" + ", decoded string" * decode)
