@@ -10,6 +10,7 @@ from wordkin.operators.skew import hot_limit, number_within
 from wordkin.plans.collocations import extract_collocations, find_collocations
 from wordkin.sinks import tables as sink
 from wordkin.storage import fingerprint, pin
+from wordkin.suite import queries
 
 PAIRS = "decade int, w1 string, w2 string, c bigint"
 
@@ -100,6 +101,26 @@ def test_sums_of_words_come_with_the_pairs(spark, rows_per_slice):
     assert shuffles(co.count_and_sum(records, co.survey(records), told.sizes)) == 2
 
 
+@pytest.mark.parametrize("rows_per_slice", [10, 10 ** 6])
+def test_sums_of_scores_without_a_table_of_pairs(spark, rows_per_slice):
+    odd = pairs(spark, (1900, None, "top", 5), (1900, "v1", None, 2), (1910, "l1", "r1", 0), (1990, "only", "zero", 0), (1980, "only", "one", 3))
+    records = pin(as_records(skewed(spark)).unionAll(odd), "records")
+    told = co.survey(records, rows_per_slice)
+    assert (told.crowded is None) == (rows_per_slice == 10 ** 6)
+    scored = pin(co.score_counted(pin(co.count_pairs(records), "counted")), "scored")
+    want = co.score_totals(scored).join(co.score_totals(scored, "exact").withColumnRenamed("s", "s_exact"), "decade")
+    want = sorted(map(tuple, want.collect()))
+    assert sorted(map(tuple, co.sum_scores(records, told, rows_per_slice).select("decade", "s", "s_exact").collect())) == want
+
+
+def test_scores_that_are_read_once_are_not_written(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "pin", lambda df, label, **also: written.append(label) or pin(df, label, **also))
+    for name in ("npmi_sum",):
+        assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert not written
+
+
 def test_words_travel_in_one_column_and_come_back(spark):
     words = [None, "", "a", "1:", ":;", "-1;b", "é😀", " x\ty", "12"]
     rows = [(1900 + 10 * (i % 2), a, b, 1) for a in words for i, b in enumerate(words)]
