@@ -116,7 +116,7 @@ def test_sums_of_scores_without_a_table_of_pairs(spark, rows_per_slice):
 def test_scores_that_are_read_once_are_not_written(spark, monkeypatch):
     written = []
     monkeypatch.setattr(queries, "pin", lambda df, label, **also: written.append(label) or pin(df, label, **also))
-    for name in ("npmi_sum",):
+    for name in ("npmi_sum", "pmi", "npmi", "filter_abs", "filter_perfect"):
         assert queries.QUERIES[name](spark, "/root/testdata/sf0.001").count()
     assert not written
 
